@@ -1,0 +1,54 @@
+"""Rollups from transactions to accounts to customers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vaultline.functions.derive import money_sum
+
+MEAN_DIGITS = 6
+
+
+def tx_metrics(transactions: DataFrame) -> DataFrame:
+    """Per account, over transactions of every status."""
+    return (
+        transactions.groupBy("account_id")
+        .agg(
+            F.count("transaction_id").alias("total_transactions"),
+            money_sum("amount").alias("total_amount_spent"),
+            F.count("amount").alias("_amounts"),
+            F.max("transaction_date").alias("last_transaction_date"),
+            F.count_if("is_flagged_fraud").alias("fraud_count"),
+        )
+        .select(
+            "account_id",
+            "total_transactions",
+            "total_amount_spent",
+            F.try_divide("total_amount_spent", "_amounts").alias("avg_transaction_amount"),
+            "last_transaction_date",
+            "fraud_count",
+        )
+    )
+
+
+def accounts_with_tx_metrics(accounts: DataFrame, metrics: DataFrame) -> DataFrame:
+    """All accounts; those without transactions have NULL metrics."""
+    return accounts.join(metrics, "account_id", "left")
+
+
+def account_metrics(accounts: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Per customer. The average is the plain mean of the account means, to six decimals."""
+    return (
+        accounts_with_tx_metrics(accounts, metrics)
+        .groupBy("customer_id")
+        .agg(
+            F.count("account_id").alias("total_accounts"),
+            money_sum("balance").alias("total_balance"),
+            F.sum("total_transactions").alias("total_transactions"),
+            money_sum("total_amount_spent", digits=28).alias("total_amount_spent"),
+            F.round(F.avg("avg_transaction_amount"), MEAN_DIGITS).alias("avg_transaction_amount"),
+            F.max("last_transaction_date").alias("last_transaction_date"),
+            F.sum("fraud_count").alias("total_fraud_count"),
+        )
+    )
