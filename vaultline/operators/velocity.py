@@ -1,11 +1,10 @@
 """Transactions of the same account in the trailing 24 hours, both ends included.
 
-A range window with one partition per account puts a busy account into a single task and rescans up
-to a day of rows for each row. Here transactions are first counted per account and second, with
-map-side partial counts, and time is cut into slots one second longer than the span. A second then
-matters only in its own slot, where it enters the count, and in the next one, where it leaves it. An
-account's slot has at most two slots' worth of seconds however many rows the account has, and one
-running total over it gives all counts.
+A range window with one partition per account puts a busy account into a single task and adds up to
+a day of rows again for each row. Here transactions are first counted per account and second, with
+map-side partial counts, and time is cut into slots of a week. Of each slot, the last day is also
+handed to the next one, which needs it to look back. However many rows an account has, a slot of it
+holds no more entries than there are seconds in eight days, and two running totals give the counts.
 """
 
 from __future__ import annotations
@@ -19,6 +18,8 @@ from vaultline.functions.derive import epoch_second
 DAY_SECONDS = 86_400
 VELOCITY_LIMIT = 5
 
+SLOT_SECONDS = 7 * DAY_SECONDS
+
 
 def per_second(transactions: DataFrame) -> DataFrame:
     """Partial results per account and second; the NULL date is a second of its own."""
@@ -30,56 +31,48 @@ def per_second(transactions: DataFrame) -> DataFrame:
     )
 
 
-def trailing_counts(seconds: DataFrame, span: int = DAY_SECONDS) -> DataFrame:
+def trailing_counts(
+    seconds: DataFrame, span: int = DAY_SECONDS, slot_seconds: int = SLOT_SECONDS
+) -> DataFrame:
     """Add ``tx_count_24h``, the ids of the account within ``span`` seconds up to each second."""
-    width = span + 1
+    if slot_seconds < span:
+        raise ValueError("a slot must be at least as long as the span it looks back")
     second = F.col("second")
-    slot = second - F.pmod(second, F.lit(width))
-    kept = [F.col(c) for c in seconds.columns if c not in ("account_id", "second", "ids")]
-
-    def entry(shift: int, enters: Column, leaves: Column) -> Column:
-        blank = [F.lit(None).alias(c) for c in seconds.columns if c not in ("account_id", "second", "ids")]
-        return F.struct(
-            (slot + shift).alias("slot"),
-            (second + shift).alias("second"),
-            enters.alias("enters"),
-            leaves.alias("leaves"),
-            F.lit(shift == 0).alias("present"),
-            *(blank if shift else kept),
-        )
+    offset = F.pmod(second, F.lit(slot_seconds))
+    slot = second - offset
 
-    here = entry(0, F.col("ids"), F.lit(0).cast("long"))
-    later = entry(width, F.lit(0).cast("long"), F.col("ids"))
-    moves = seconds.select(
-        "account_id",
-        F.inline(F.when(second.isNull(), F.array(here)).otherwise(F.array(here, later))),
-    )
+    own = F.struct(slot.alias("slot"), F.lit(True).alias("own"))
+    handed_on = F.struct((slot + slot_seconds).alias("slot"), F.lit(False).alias("own"))
+    slots = F.when(offset >= slot_seconds - span, F.array(own, handed_on)).otherwise(F.array(own))
 
     in_slot = Window.partitionBy("account_id", "slot").orderBy("second")
-    so_far = in_slot.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = in_slot.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    inherited = F.sum("leaves").over(whole)
+    entered = F.sum("ids").over(in_slot.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    left = F.sum("ids").over(in_slot.rangeBetween(Window.unboundedPreceding, -(span + 1)))
+    recent = F.when(second.isNull(), F.col("ids")).otherwise(entered - F.coalesce(left, F.lit(0)))
     return (
-        moves.withColumn("tx_count_24h", inherited + F.sum(F.col("enters") - F.col("leaves")).over(so_far))
-        .filter("present")
-        .drop("slot", "enters", "leaves", "present")
+        seconds.select("*", F.inline(slots))
+        .withColumn("tx_count_24h", recent)
+        .filter("own")
+        .drop("slot", "own")
     )
 
 
 def is_alert(limit: int = VELOCITY_LIMIT) -> Column:
-    return F.coalesce(F.col("tx_count_24h") > limit, F.lit(False))
+    return F.col("tx_count_24h") > limit
 
 
 def velocity(
     transactions: DataFrame, span: int = DAY_SECONDS, limit: int = VELOCITY_LIMIT
 ) -> DataFrame:
     """Each transaction with ``tx_count_24h`` and ``velocity_alert``."""
-    counts = trailing_counts(per_second(transactions), span).select(
-        F.col("account_id").alias("_account"), F.col("second").alias("_second"), "tx_count_24h"
+    moment = epoch_second("transaction_date")
+    ids = transactions.groupBy("account_id", moment.alias("second")).agg(
+        F.count("transaction_id").alias("ids")
     )
-    same = F.col("account_id").eqNullSafe(F.col("_account")) & epoch_second("transaction_date").eqNullSafe(
-        F.col("_second")
+    counts = trailing_counts(ids, span).select(
+        F.col("account_id").alias("_account"), F.col("second").alias("_second"), "tx_count_24h"
     )
+    same = F.col("account_id").eqNullSafe(F.col("_account")) & moment.eqNullSafe(F.col("_second"))
     return (
         transactions.join(counts, same)
         .drop("_account", "_second")

@@ -288,7 +288,7 @@ query("customer_360", C360_SQL)(_customer_360)
 )
 def velocity_24h(bank: Bank) -> DataFrame:
     moves = bank.silver("transactions").select("transaction_id", "account_id", "transaction_date")
-    return velocity.velocity(moves.withColumn("is_flagged_fraud", F.lit(False))).drop("is_flagged_fraud")
+    return velocity.velocity(moves)
 
 
 @query(
