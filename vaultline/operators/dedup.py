@@ -27,10 +27,18 @@ def leading_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], arrival: Sequence[str] = ARRIVAL
+    df: DataFrame, keys: Sequence[str], arrival: Sequence[str] = ARRIVAL, salts: int = 0
 ) -> DataFrame:
-    """First arrival per key. A stream keeps every key it has ever seen in the state store."""
+    """First arrival per key. A stream keeps every key it has ever seen in the state store.
+
+    On a stream, ``salts`` lets the copies of a key first meet in that many groups, each passing on
+    one row, before they meet as a key. It relieves the task of a key with very many copies, at the
+    price of a second state.
+    """
     if df.isStreaming:
+        if salts:
+            salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+            df = df.withColumn("_salt", salt).dropDuplicates([*keys, "_salt"]).drop("_salt")
         return df.dropDuplicates(list(keys))
     return leading_row(df, keys, [F.col(c).asc_nulls_first() for c in arrival if c in df.columns])
 

@@ -53,13 +53,20 @@ def _derived(entity: str, strict: bool) -> list[dict[str, Column]]:
 
 
 def cleaned(
-    entity: str, raw: DataFrame, extra_columns: Sequence[str] = (), strict: bool = False
+    entity: str,
+    raw: DataFrame,
+    extra_columns: Sequence[str] = (),
+    strict: bool = False,
+    salts: int = 0,
 ) -> DataFrame:
-    """Deduplicated, parsed and derived rows of one entity, before its rules."""
+    """Deduplicated, parsed and derived rows of one entity, before its rules.
+
+    ``salts`` spreads the copies of a key on a stream, see ``first_per_key``.
+    """
     wanted = (*COLUMNS[entity], *extra_columns)
     order = () if raw.isStreaming else ARRIVAL
     needed = [c for c in raw.columns if c in wanted or c in order]
-    rows = first_per_key(raw.select(*needed), [KEYS[entity]])
+    rows = first_per_key(raw.select(*needed), [KEYS[entity]], salts=salts)
     for assignments in _derived(entity, strict):
         rows = rows.withColumns(assignments)
     return rows.select(*wanted)
@@ -71,8 +78,10 @@ def table(
     extra_columns: Sequence[str] = (),
     metrics: str | Observation | None = None,
     strict: bool = False,
+    salts: int = 0,
 ) -> DataFrame:
-    return enforce(cleaned(entity, raw, extra_columns, strict), rulebook.SILVER[entity], metrics)
+    rows = cleaned(entity, raw, extra_columns, strict, salts)
+    return enforce(rows, rulebook.SILVER[entity], metrics)
 
 
 def customers(raw: DataFrame, extra_columns: Sequence[str] = (), **options) -> DataFrame:
