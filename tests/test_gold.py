@@ -150,3 +150,29 @@ def test_ownerless_accounts_do_not_share_one_task(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_adaptive_execution_splits_a_customer_with_very_many_accounts(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    n = 20_000
+    numbered = spark.range(0, n, 1, 8).withColumn("account_id", F.concat(F.lit("a"), "id"))
+    by_account = numbered.select("account_id", F.col("id").alias("total_fraud_txns"))
+    owner = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), "id"))
+    accounts = numbered.select("account_id", owner.alias("customer_id"))
+    customers = accounts.select("customer_id", F.lit("Jo").alias("full_name"), F.lit("x").alias("kyc_status")).distinct()
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = fraud_alerts.fraud_enriched(by_account, accounts, customers)
+        assert len([r for r in rows.collect() if r.full_name == "Jo"]) == n
+        assert "SortMergeJoin(skew=true)" in plan_of(rows)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

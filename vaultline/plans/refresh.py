@@ -11,10 +11,10 @@ from vaultline.plans.customer_360 import CLUSTER_COLUMNS, customer_360
 from vaultline.plans.fraud_alerts import fraud_alerts
 from vaultline.schemas import INGESTED_AT, RAW, SOURCE_FILE, with_extra
 from vaultline.schemas import bronze as bronze_schema
-from vaultline.sinks import append_stream, overwrite, write_clustered
+from vaultline.sinks import append_stream, overwrite, register_tagged, write_clustered
 from vaultline.sources.landing import read_landing, stream_landing
 from vaultline.sources.tables import read_table, stream_table
-from vaultline.streaming.changes import write_changes
+from vaultline.streaming.changes import read_current, write_changes
 from vaultline.streaming.run import finish, rule_totals, start
 
 ENTITIES = tuple(RAW)
@@ -27,6 +27,19 @@ CUSTOMER_CHANGES = ChangeFeed(
     except_columns=(SOURCE_FILE,),
 )
 
+# Catalog name, stored folder, comment and tags of each table.
+TABLES = (
+    ("raw_customers", "bronze/customers", "Customers as landed", {"quality": "bronze"}),
+    ("raw_accounts", "bronze/accounts", "Accounts as landed", {"quality": "bronze"}),
+    ("raw_transactions", "bronze/transactions", "Transactions as landed", {"quality": "bronze"}),
+    ("customers", "silver/customers", "Clean customers, first arrival", {"quality": "silver", "pii": "true"}),
+    ("accounts", "silver/accounts", "Clean accounts", {"quality": "silver"}),
+    ("transactions", "silver/transactions", "Clean transactions", {"quality": "silver"}),
+    ("customer_360", "gold/customer_360", "Customers with account and transaction totals", {"quality": "gold"}),
+    ("fraud_alerts", "gold/fraud_alerts", "Fraud indicators of every active account", {"quality": "gold"}),
+)
+CUSTOMERS_CDC = "silver/customers_cdc"
+
 Extras = dict[str, list[StructField]]
 
 
@@ -45,6 +58,17 @@ def write_gold(spark: SparkSession, out: str) -> None:
     overwrite(fraud_alerts(**tables), f"{out}/gold/fraud_alerts")
 
 
+def register_tables(spark: SparkSession, out: str, database: str = "default") -> None:
+    """Give the stored tables their names, comments and tags in the catalog."""
+    for name, folder, comment, tags in TABLES:
+        register_tagged(spark, f"{database}.{name}", f"{out}/{folder}", comment, tags)
+
+
+def current_customers(spark: SparkSession, out: str) -> DataFrame:
+    """The change-capture table: newest state of the customers that are not deleted."""
+    return read_current(spark, CUSTOMER_CHANGES, f"{out}/{CUSTOMERS_CDC}")
+
+
 def refresh_batch(spark: SparkSession, landing: str, out: str, extras: Extras | None = None) -> None:
     extras = extras or {}
     for entity in ENTITIES:
@@ -98,11 +122,8 @@ def refresh_available(
         schema = bronze_schema(entity, *extras.get(entity, []))
         return stream_table(spark, f"{out}/bronze/{entity}", schema, max_files_per_trigger)
 
-    changes = start(
-        write_changes(
-            stored("customers"), CUSTOMER_CHANGES, f"{out}/silver/customers_cdc", f"{checkpoints}/silver/customers_cdc"
-        )
-    )
+    target, checkpoint = f"{out}/{CUSTOMERS_CDC}", f"{checkpoints}/{CUSTOMERS_CDC}"
+    changes = start(write_changes(stored("customers"), CUSTOMER_CHANGES, target, checkpoint))
     refined = {
         entity: silver.table(
             entity, stored(entity), _extra_names(entity, extras), metrics=f"silver_{entity}"

@@ -1,10 +1,11 @@
 from vaultline.sinks.files import append_stream, overwrite, write_clustered, write_json
-from vaultline.sinks.tables import create_tagged, table_tags
+from vaultline.sinks.tables import create_tagged, register_tagged, table_tags
 
 __all__ = [
     "append_stream",
     "create_tagged",
     "overwrite",
+    "register_tagged",
     "table_tags",
     "write_clustered",
     "write_json",

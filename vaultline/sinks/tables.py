@@ -12,21 +12,32 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def create_tagged(
-    df: DataFrame, table: str, path: str, comment: str, tags: Mapping[str, str]
-) -> None:
+def _definition(table: str, path: str, comment: str, tags: Mapping[str, str]) -> str:
+    properties = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in tags.items())
+    return (
+        f"{table} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(comment)} "
+        f"TBLPROPERTIES ({properties})"
+    )
+
+
+def create_tagged(df: DataFrame, table: str, path: str, comment: str, tags: Mapping[str, str]) -> None:
     """Create ``table`` at ``path`` from ``df`` with a comment and table properties."""
     view = f"_tagged_{uuid.uuid4().hex}"
     df.createTempView(view)
-    properties = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in tags.items())
     try:
         df.sparkSession.sql(
-            f"CREATE TABLE {table} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(comment)} "
-            f"TBLPROPERTIES ({properties}) AS SELECT * FROM {view}"
+            f"CREATE TABLE {_definition(table, path, comment, tags)} AS SELECT * FROM {view}"
         )
     finally:
         df.sparkSession.catalog.dropTempView(view)
 
 
+def register_tagged(
+    spark: SparkSession, table: str, path: str, comment: str, tags: Mapping[str, str]
+) -> None:
+    """Name data already stored at ``path``, with a comment and table properties."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_definition(table, path, comment, tags)}")
+
+
 def table_tags(spark: SparkSession, table: str) -> dict[str, str]:
     return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.sinks import write_json
+
 # The vocabularies. A value listed twice is twice as likely.
 KYC_STATUSES = ("verified", "pending", "rejected")
 ACCOUNT_TYPES = ("checking", "savings", "business")
@@ -30,6 +32,7 @@ BALANCE_CENTS = (0, 5_000_000)
 FRAUD_CENTS = (50_000, 999_900)
 REGULAR_CENTS = (100, 300_000)
 FRAUD_PERCENT = 3
+DEFAULT_CUSTOMERS = 500
 DEFAULT_TRANSACTIONS = 5000
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
@@ -142,3 +145,22 @@ def transactions(
         moment(row, "transaction_date", start, end).alias("transaction_date"),
         F.lit(end.isoformat()).alias("created_at"),
     )
+
+
+def write_landing(
+    spark: SparkSession,
+    root: str,
+    customer_count: int = DEFAULT_CUSTOMERS,
+    transaction_count: int = DEFAULT_TRANSACTIONS,
+    start: dt.datetime | None = None,
+    end: dt.datetime | None = None,
+) -> None:
+    """Fill the landing folders below ``root``: customers, an account each, and transactions."""
+    people = row_numbers(spark, customer_count)
+    made = {
+        "customers": customers(people, start, end),
+        "accounts": accounts(people, start, end),
+        "transactions": transactions(row_numbers(spark, transaction_count), customer_count, start, end),
+    }
+    for entity, df in made.items():
+        write_json(df, f"{root}/{entity}")
