@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from vaultline import session, sinks
 from vaultline.schemas import INGESTED_AT, RAW, SOURCE_FILE
 from vaultline.sources import generator, landing
+from vaultline.streaming.run import run_available
+
+
+YEAR = (dt.datetime(2024, 1, 1), dt.datetime(2024, 12, 31))
 
 
 def land(spark, path, n=20):
-    sinks.write_json(generator.accounts(generator.row_numbers(spark, n)), path)
+    sinks.write_json(generator.accounts(generator.row_numbers(spark, n), *YEAR), path)
 
 
 def test_landed_rows_carry_file_and_time(spark, scratch):
@@ -44,8 +48,18 @@ def test_inferred_types(spark, scratch):
     assert found == {f.name: f.dataType.simpleString() for f in RAW["accounts"].fields}
 
 
+def test_a_stream_can_use_the_inferred_types(spark, scratch):
+    land(spark, f"{scratch}/landing")
+    found = landing.infer_schema(spark, f"{scratch}/landing")
+    stream = landing.stream_landing(spark, f"{scratch}/landing", found)
+    run_available(sinks.append_stream(stream, f"{scratch}/out", f"{scratch}/checkpoint"))
+    stored = spark.read.parquet(f"{scratch}/out").select(*RAW["accounts"].names)
+    assert stored.exceptAll(generator.accounts(generator.row_numbers(spark, 20), *YEAR)).count() == 0
+    assert stored.count() == 20
+
+
 def test_landing_path_follows_the_configured_catalog(spark):
-    assert landing.landing_path(spark, "customers") == "/Volumes/bank_dev/raw_data/landing/customers/"
+    assert landing.landing_path(spark, "customers") == "/data/bank_dev/raw_data/landing/customers/"
     spark.conf.set("catalog_name", "bank_prod")
     try:
         assert landing.landing_path(spark, "accounts", "/mnt") == "/mnt/bank_prod/raw_data/landing/accounts/"

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from vaultline.operators import dedup
@@ -9,7 +11,7 @@ from vaultline.sinks import append_stream
 from vaultline.sources.landing import stream_landing
 from vaultline.sources.tables import read_table, stream_table
 from vaultline.streaming.changes import read_current
-from vaultline.streaming.run import run_available
+from vaultline.streaming.run import run_available, run_together
 from vaultline.workload.adapter import EXTRA, EXTRA_FIELDS, Bank
 
 ENTITIES = ("customers", "accounts", "transactions")
@@ -91,6 +93,21 @@ def test_triggered_refresh_in_steps_equals_one_batch(spark, sf_dir, scratch):
             assert got == want, (layer, entity)
 
 
+def test_a_failing_stream_stops_the_others_and_shows(spark, scratch):
+    spark.range(10).write.parquet(f"{scratch}/in")
+    landed = stream_table(spark, f"{scratch}/in", spark.range(1).schema)
+    broken = landed.select(F.raise_error(F.lit("broken on purpose")).cast("string").alias("v"))
+    writers = {
+        "broken": append_stream(broken, f"{scratch}/broken", f"{scratch}/cp_broken"),
+        "sound": append_stream(landed, f"{scratch}/sound", f"{scratch}/cp_sound"),
+    }
+    with pytest.raises(StreamingQueryException, match="broken on purpose"):
+        run_together(writers)
+    assert not spark.streams.active
+    run_available(append_stream(landed, f"{scratch}/sound", f"{scratch}/cp_sound"))
+    assert read_table(spark, f"{scratch}/sound").count() == 10
+
+
 def test_stored_bronze_has_the_declared_layout(spark, sf_dir, scratch):
     bank = Bank(spark, sf_dir)
     bank.raw("transactions").write.json(f"{scratch}/landing")

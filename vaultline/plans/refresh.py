@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructField, StructType
 
 from vaultline.operators.changes import ChangeFeed
@@ -15,7 +16,7 @@ from vaultline.sinks import append_stream, overwrite, register_tagged, write_clu
 from vaultline.sources.landing import read_landing, stream_landing
 from vaultline.sources.tables import read_table, stream_table
 from vaultline.streaming.changes import read_current, write_changes
-from vaultline.streaming.run import finish, rule_totals, start
+from vaultline.streaming.run import rule_totals, run_together
 
 ENTITIES = tuple(RAW)
 
@@ -79,17 +80,6 @@ def refresh_batch(spark: SparkSession, landing: str, out: str, extras: Extras |
     write_gold(spark, out)
 
 
-def _run_layer(
-    queries: dict[str, DataFrame], out: str, layer: str, checkpoints: str
-) -> dict[str, dict[str, int]]:
-    """Run one layer's streams side by side; returns the rule counts of each."""
-    running = {
-        entity: start(append_stream(df, f"{out}/{layer}/{entity}", f"{checkpoints}/{layer}/{entity}"))
-        for entity, df in queries.items()
-    }
-    return {entity: rule_totals(finish(query), f"{layer}_{entity}") for entity, query in running.items()}
-
-
 def refresh_available(
     spark: SparkSession,
     landing: str,
@@ -103,34 +93,34 @@ def refresh_available(
     Returns rows and violations per rule, by layer and entity.
     """
     extras = extras or {}
-    landed = {
-        entity: bronze.raw(
-            entity,
-            stream_landing(
-                spark,
-                f"{landing}/{entity}",
-                _raw_schema(entity, extras),
-                max_files_per_trigger=max_files_per_trigger,
-            ),
-            metrics=f"bronze_{entity}",
+    counts = {}
+
+    def run_layer(layer: str, tables: dict[str, DataFrame], **others: DataStreamWriter) -> None:
+        sinks = {
+            entity: append_stream(df, f"{out}/{layer}/{entity}", f"{checkpoints}/{layer}/{entity}")
+            for entity, df in tables.items()
+        }
+        progress = run_together({**sinks, **others})
+        counts[layer] = {entity: rule_totals(progress[entity], f"{layer}_{entity}") for entity in tables}
+
+    def landed(entity: str) -> DataFrame:
+        schema = _raw_schema(entity, extras)
+        files = stream_landing(
+            spark, f"{landing}/{entity}", schema, max_files_per_trigger=max_files_per_trigger
         )
-        for entity in ENTITIES
-    }
-    counts = {"bronze": _run_layer(landed, out, "bronze", checkpoints)}
+        return bronze.raw(entity, files, metrics=f"bronze_{entity}")
 
     def stored(entity: str) -> DataFrame:
         schema = bronze_schema(entity, *extras.get(entity, []))
         return stream_table(spark, f"{out}/bronze/{entity}", schema, max_files_per_trigger)
 
+    def refined(entity: str) -> DataFrame:
+        names = _extra_names(entity, extras)
+        return silver.table(entity, stored(entity), names, metrics=f"silver_{entity}")
+
+    run_layer("bronze", {entity: landed(entity) for entity in ENTITIES})
     target, checkpoint = f"{out}/{CUSTOMERS_CDC}", f"{checkpoints}/{CUSTOMERS_CDC}"
-    changes = start(write_changes(stored("customers"), CUSTOMER_CHANGES, target, checkpoint))
-    refined = {
-        entity: silver.table(
-            entity, stored(entity), _extra_names(entity, extras), metrics=f"silver_{entity}"
-        )
-        for entity in ENTITIES
-    }
-    counts["silver"] = _run_layer(refined, out, "silver", checkpoints)
-    finish(changes)
+    changes = write_changes(stored("customers"), CUSTOMER_CHANGES, target, checkpoint)
+    run_layer("silver", {entity: refined(entity) for entity in ENTITIES}, customers_cdc=changes)
     write_gold(spark, out)
     return counts

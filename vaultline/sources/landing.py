@@ -12,7 +12,7 @@ CATALOG_KEY = "catalog_name"
 DEFAULT_CATALOG = "bank_dev"
 
 
-def landing_path(spark: SparkSession, entity: str, root: str = "/Volumes") -> str:
+def landing_path(spark: SparkSession, entity: str, root: str = "/data") -> str:
     """Folder of one entity below the catalog named in the session configuration."""
     catalog = spark.conf.get(CATALOG_KEY, DEFAULT_CATALOG)
     return f"{root}/{catalog}/raw_data/landing/{entity}/"

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
+POLL_SECONDS = 1.0
 
-def start(writer: DataStreamWriter) -> StreamingQuery:
-    return writer.trigger(availableNow=True).start()
 
+def run_together(writers: Mapping[str, DataStreamWriter]) -> dict[str, list[StreamingQueryProgress]]:
+    """Run all streams side by side to their end and return the progress of all their batches.
 
-def finish(query: StreamingQuery, poll_seconds: float = 1.0) -> list[StreamingQueryProgress]:
-    """Wait for the run to end and return the progress of all its batches.
-
-    The session keeps only the latest progress reports, so they are gathered while the run goes on.
+    A session keeps only a query's latest progress reports, so they are gathered during the run.
+    Should one stream fail, the others are stopped; their checkpoints let the next run go on.
     """
-    seen: dict[int, StreamingQueryProgress] = {}
-    ended = False
-    while not ended:
-        ended = bool(query.awaitTermination(poll_seconds))
-        seen.update((progress.batchId, progress) for progress in query.recentProgress)
-    return [seen[batch] for batch in sorted(seen)]
+    running: dict[str, StreamingQuery] = {}
+    seen: dict[str, dict[int, StreamingQueryProgress]] = {name: {} for name in writers}
+    try:
+        for name, writer in writers.items():
+            running[name] = writer.trigger(availableNow=True).start()
+        while running:
+            for name, query in list(running.items()):
+                ended = query.awaitTermination(POLL_SECONDS / len(running))
+                seen[name].update((progress.batchId, progress) for progress in query.recentProgress)
+                if ended:
+                    del running[name]
+    finally:
+        for query in running.values():
+            query.stop()
+    return {name: [batches[i] for i in sorted(batches)] for name, batches in seen.items()}
 
 
 def run_available(writer: DataStreamWriter) -> list[StreamingQueryProgress]:
-    return finish(start(writer))
+    return run_together({"only": writer})["only"]
 
 
 def rule_totals(progress: Iterable[StreamingQueryProgress], metrics: str) -> dict[str, int]:
