@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from vaultline.operators.changes import ChangeFeed, apply_changes
+from vaultline.session import scratch_dir
 from vaultline.sources.tables import stream_table
 from vaultline.streaming.changes import compact, read_current, write_changes
 from vaultline.streaming.run import run_available
@@ -46,7 +47,14 @@ def test_updates_deletes_and_reinsertion(spark):
 def feed_rows(seed, n=120):
     rng = random.Random(seed)
     return [
-        (f"k{rng.randrange(12)}", rng.choice([None, *range(20)]), i, rng.choice([True, False, False, None]), f"v{i}", "f")
+        (
+            f"k{rng.randrange(12)}",
+            rng.choice([None, *range(20)]),
+            i,
+            rng.choice([True, False, False, None]),
+            f"v{i}",
+            "f",
+        )
         for i in range(n)
     ]
 
@@ -62,10 +70,12 @@ def test_any_order_and_layout_gives_the_same_table(spark, seed, partitions, data
 
 
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10_000), cuts=st.lists(st.integers(1, 119), min_size=1, max_size=3, unique=True), fold=st.booleans())
+@given(
+    seed=st.integers(0, 10_000),
+    cuts=st.lists(st.integers(1, 119), min_size=1, max_size=3, unique=True),
+    fold=st.booleans(),
+)
 def test_any_split_into_stream_runs_gives_the_same_table(spark, seed, cuts, fold):
-    from vaultline.session import scratch_dir
-
     root = scratch_dir(spark, "test")
     rows = feed_rows(seed)
     random.Random(seed).shuffle(rows)

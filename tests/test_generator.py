@@ -54,7 +54,8 @@ def test_shares_and_ranges(generated):
     moves = generated["transactions"]
     done = moves.agg(F.avg((F.col("status") == "completed").cast("int"))).first()[0]
     assert 0.45 < done < 0.55
-    ranges = {r.is_flagged_fraud: (r.low, r.high) for r in moves.groupBy("is_flagged_fraud").agg(F.min("amount").alias("low"), F.max("amount").alias("high")).collect()}
+    bounds = moves.groupBy("is_flagged_fraud").agg(F.min("amount").alias("low"), F.max("amount").alias("high"))
+    ranges = {r.is_flagged_fraud: (r.low, r.high) for r in bounds.collect()}
     assert ranges[True][0] >= 500 and ranges[True][1] <= 9999
     assert ranges[False][0] >= 1 and ranges[False][1] <= 3000
     assert moves.filter("round(amount, 2) != amount").count() == 0

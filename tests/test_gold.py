@@ -94,9 +94,10 @@ def test_fraud_alerts(spark):
 
 def test_velocity_alone_makes_a_medium_alert(spark):
     customers, accounts, _ = tables(spark)
-    moves = spark.createDataFrame([move(i, "a1", 1.0) for i in range(4)] + [move(9, "b1", 1.0, i) for i in range(9)], MOVES)
-    burst = moves.unionAll(spark.createDataFrame([move(100 + i, "a1", 1.0) for i in range(2)], MOVES))
-    levels = {r.account_id: (r.velocity_alerts_count, r.alert_level) for r in fraud_alerts.fraud_alerts(burst, accounts, customers).collect()}
+    burst = [move(i, "a1", 1.0) for i in range(6)]
+    steady = [move(100 + i, "b1", 1.0, i) for i in range(9)]
+    alerts = fraud_alerts.fraud_alerts(spark.createDataFrame(burst + steady, MOVES), accounts, customers)
+    levels = {r.account_id: (r.velocity_alerts_count, r.alert_level) for r in alerts.collect()}
     assert levels == {"a1": (6, "medium"), "b1": (0, "low")}
 
 
@@ -136,9 +137,10 @@ def test_filter_on_the_customer_reaches_both_sides(spark, sf_dir, scratch, stati
 
 def test_ownerless_accounts_do_not_share_one_task(spark):
     n = 5000
-    by_account = spark.range(n).select(F.concat(F.lit("a"), "id").alias("account_id"), F.lit(0).alias("total_fraud_txns"))
+    by_account = spark.range(n).select(F.concat(F.lit("a"), "id").alias("account_id"))
     accounts = spark.createDataFrame([("a0", "c0")], "account_id string, customer_id string")
-    customers = spark.createDataFrame([("c0", "Jo", "verified")], "customer_id string, full_name string, kyc_status string")
+    people = "customer_id string, full_name string, kyc_status string"
+    customers = spark.createDataFrame([("c0", "Jo", "verified")], people)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -166,7 +168,8 @@ def test_adaptive_execution_splits_a_customer_with_very_many_accounts(spark):
     by_account = numbered.select("account_id", F.col("id").alias("total_fraud_txns"))
     owner = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), "id"))
     accounts = numbered.select("account_id", owner.alias("customer_id"))
-    customers = accounts.select("customer_id", F.lit("Jo").alias("full_name"), F.lit("x").alias("kyc_status")).distinct()
+    customers = accounts.select("customer_id").distinct()
+    customers = customers.withColumns({"full_name": F.lit("Jo"), "kyc_status": F.lit("x")})
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:

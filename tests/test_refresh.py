@@ -12,7 +12,9 @@ def test_generated_files_to_named_gold_tables(spark, scratch, capsys):
     assert '"transaction_id not null": 0' in capsys.readouterr().out
     job.main(["refresh", landing, f"{scratch}/batch"])
     for table in ("customer_360", "fraud_alerts"):
-        streamed, batch = (read_table(spark, f"{root}/gold/{table}").drop("_updated_at") for root in (out, f"{scratch}/batch"))
+        streamed, batch = (
+            read_table(spark, f"{root}/gold/{table}").drop("_updated_at") for root in (out, f"{scratch}/batch")
+        )
         assert streamed.count() > 0
         assert streamed.exceptAll(batch).count() == 0 == batch.exceptAll(streamed).count()
     assert refresh.current_customers(spark, out).count() == 60

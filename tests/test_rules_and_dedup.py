@@ -44,7 +44,10 @@ def test_rules_without_metrics_reach_the_scan(spark, scratch):
 
 
 def test_first_arrival_wins_and_null_is_a_key(spark):
-    rows = [("a", 2, "late"), ("a", 1, "early"), (None, 5, "late"), (None, 4, "early"), ("b", None, "unknown"), ("b", 0, "x")]
+    rows = [
+        ("a", 2, "late"), ("a", 1, "early"), (None, 5, "late"), (None, 4, "early"),
+        ("b", None, "unknown"), ("b", 0, "x"),
+    ]
     df = spark.createDataFrame(rows, "k string, at int, v string").repartition(3)
     first = {r.k: r.v for r in dedup.first_per_key(df, ["k"], ["at"]).collect()}
     assert first == {"a": "early", None: "early", "b": "unknown"}
@@ -69,10 +72,13 @@ def test_copies_of_a_key_are_cut_down_before_the_shuffle(spark):
     assert first.count() == 335
 
 
+SEEN = {"_ingested_at": dt.datetime(2024, 1, 1), "_source_file": "f"}
+
+
 def raw_transaction(**fields):
     base = {name: None for name in RAW["transactions"].names}
-    base |= {"transaction_id": "t", "account_id": "a", "amount": 5.0, "currency": "EUR", "_ingested_at": dt.datetime(2024, 1, 1), "_source_file": "f"}
-    return base | fields
+    base |= {"transaction_id": "t", "account_id": "a", "amount": 5.0, "currency": "EUR"}
+    return base | SEEN | fields
 
 
 def raw_frame(spark, entity, rows):
@@ -94,7 +100,10 @@ def test_a_bad_first_copy_keeps_a_good_later_copy_out(spark):
 
 def test_silver_transactions_round_then_judge(spark):
     amounts = {"zero": 0.004, "cent": 0.006, "edge": 99.996, "none": None, "dollar": 5.0}
-    rows = [raw_transaction(transaction_id=k, amount=v, currency="USD" if k == "dollar" else "EUR") for k, v in amounts.items()]
+    rows = [
+        raw_transaction(transaction_id=k, amount=v, currency="USD" if k == "dollar" else "EUR")
+        for k, v in amounts.items()
+    ]
     table = silver.transactions(raw_frame(spark, "transactions", rows))
     assert tuple(table.columns) == SILVER_TRANSACTIONS
     assert sorted((r.transaction_id, r.amount, r.amount_category) for r in table.collect()) == [
@@ -104,25 +113,29 @@ def test_silver_transactions_round_then_judge(spark):
 
 
 def test_silver_accounts_and_customers(spark):
-    seen = {"_ingested_at": dt.datetime(2024, 1, 1), "_source_file": "f"}
+    common = {"customer_id": "c", "account_type": "savings", "currency": "EUR", "status": "active", **SEEN}
     accounts = raw_frame(
         spark,
         "accounts",
         [
-            {"account_id": "a", "customer_id": "c", "account_type": "savings", "balance": 20000.004, "currency": "EUR", "status": "active", "opened_at": "2024-01-01T00:00:00", **seen},
-            {"account_id": "b", "customer_id": "c", "account_type": "savings", "balance": -0.004, "currency": "EUR", "status": "active", "opened_at": "never", **seen},
-            {"account_id": "n", "customer_id": "c", "account_type": "savings", "balance": -0.006, "currency": "EUR", "status": "active", "opened_at": None, **seen},
+            {"account_id": "a", "balance": 20000.004, "opened_at": "2024-01-01T00:00:00", **common},
+            {"account_id": "b", "balance": -0.004, "opened_at": "never", **common},
+            {"account_id": "n", "balance": -0.006, "opened_at": None, **common},
         ],
     )
     table = silver.accounts(accounts)
     assert tuple(table.columns) == SILVER_ACCOUNTS
-    assert sorted((r.account_id, r.balance, r.is_high_balance, r.opened_at is None) for r in table.collect()) == [
+    found = sorted((r.account_id, r.balance, r.is_high_balance, r.opened_at is None) for r in table.collect())
+    assert found == [
         ("a", 20000.0, False, False),
         ("b", 0.0, False, True),
     ]
-    person = {"full_name": " jo ", "email": " J@X ", "phone": "1", "is_deleted": False, "created_at": "2024-01-01", **seen}
+    person = {"full_name": " jo ", "email": " J@X ", "phone": "1", "is_deleted": False, "created_at": "2024"}
+    statuses = {"1": "verified", "2": "unknown", "3": None}
     customers = raw_frame(
-        spark, "customers", [{"customer_id": k, "kyc_status": s, **person} for k, s in [("1", "verified"), ("2", "unknown"), ("3", None)]]
+        spark,
+        "customers",
+        [{"customer_id": k, "kyc_status": status, **person, **SEEN} for k, status in statuses.items()],
     )
     table = silver.customers(customers)
     assert tuple(table.columns) == SILVER_CUSTOMERS
@@ -130,7 +143,12 @@ def test_silver_accounts_and_customers(spark):
 
 
 def test_bronze_drops_only_transactions_without_ids(spark):
-    rows = [raw_transaction(), raw_transaction(transaction_id=None), raw_transaction(account_id=None), raw_transaction(amount=-1.0)]
+    rows = [
+        raw_transaction(),
+        raw_transaction(transaction_id=None),
+        raw_transaction(account_id=None),
+        raw_transaction(amount=-1.0),
+    ]
     assert bronze.raw("transactions", raw_frame(spark, "transactions", rows)).count() == 2
 
 

@@ -13,12 +13,13 @@ ARRIVAL = (INGESTED_AT, SOURCE_FILE)
 
 
 def leading_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The row of each key that sorts first; exact ties go by a hash of the row, so reruns agree.
+    """The row of each key that sorts first; ties go by the other columns, so reruns agree.
 
     Spark cuts ``row_number() = 1`` down to one row per key and task before it shuffles, so a key
     that owns much of the table costs no more than any other.
     """
-    ranked = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
+    rest = [c for c in df.columns if c not in keys]
+    ranked = Window.partitionBy(*keys).orderBy(*order, *rest)
     return (
         df.withColumn("_position", F.row_number().over(ranked))
         .filter(F.col("_position") == 1)

@@ -87,10 +87,12 @@ def refresh_available(
     checkpoints: str,
     extras: Extras | None = None,
     max_files_per_trigger: int | None = None,
+    salts: int = 0,
 ) -> dict[str, dict[str, dict[str, int]]]:
     """Take in the files that landed since the last run and bring every table up to date.
 
-    Returns rows and violations per rule, by layer and entity.
+    Returns rows and violations per rule, by layer and entity. ``salts`` is for feeds in which some
+    keys have very many copies; it shapes the state, so keep it the same from run to run.
     """
     extras = extras or {}
     counts = {}
@@ -116,7 +118,7 @@ def refresh_available(
 
     def refined(entity: str) -> DataFrame:
         names = _extra_names(entity, extras)
-        return silver.table(entity, stored(entity), names, metrics=f"silver_{entity}")
+        return silver.table(entity, stored(entity), names, metrics=f"silver_{entity}", salts=salts)
 
     run_layer("bronze", {entity: landed(entity) for entity in ENTITIES})
     target, checkpoint = f"{out}/{CUSTOMERS_CDC}", f"{checkpoints}/{CUSTOMERS_CDC}"
