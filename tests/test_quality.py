@@ -1,3 +1,4 @@
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from vaultline.operators import quality as q
@@ -62,3 +63,10 @@ def test_orphans_count_null_and_unknown_keys_whatever_their_frequency(spark):
     parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     assert tuple(q.orphans(child, "k", parent).first()) == (87, 80)
     assert tuple(q.orphans(child.limit(0), "k", parent).first()) == (0, 0)
+
+
+def test_only_the_key_is_shuffled(spark, scratch, static_plans):
+    spark.createDataFrame(ROWS, SCHEMA).write.parquet(scratch)
+    plan = plan_of(q.report(spark.read.parquet(scratch), [q.unique("k"), q.contains("m", "@"), q.above("v", 0)]))
+    assert plan.count("FileScan") == 2 and plan.count("hashpartitioning") == 1
+    assert "ReadSchema: struct<k:string>" in plan and "ReadSchema: struct<m:string,v:double>" in plan

@@ -94,55 +94,54 @@ def rate_between(name: str, predicate: Column, low: float, high: float) -> Check
     return RateCheck(name, predicate, low, high)
 
 
-def _partials(df: DataFrame, checks: Sequence[Check], keys: tuple[str, ...]) -> DataFrame:
-    """One row of counts. Grouping by the key first also yields its surplus rows in the same scan."""
-    counted = {"total": F.count(F.lit(1))}
-    for i, check in enumerate(checks):
-        if isinstance(check, RowCheck):
-            counted[f"n_{i}"] = F.count_if(~is_true(check.predicate))
-        elif isinstance(check, RateCheck):
-            counted[f"n_{i}"] = F.count_if(check.predicate)
-    if not keys:
-        return df.agg(*(c.alias(name) for name, c in counted.items()))
-    per_key = df.groupBy(*keys).agg(*(c.alias(name) for name, c in counted.items()))
-    summed = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counted]
-    surplus = F.coalesce(F.sum(F.col("total") - 1), F.lit(0)).alias("surplus")
-    return per_key.agg(*summed, surplus)
-
-
-def _line(check: Check, i: int) -> Column:
-    total = F.col("total")
-    if isinstance(check, UniqueCheck):
-        failed = F.col("surplus")
-    elif isinstance(check, RowCheck):
-        failed = F.col(f"n_{i}")
-    elif isinstance(check, RateCheck):
-        within = is_true(F.try_divide(F.col(f"n_{i}"), total).between(check.low, check.high))
-        failed = F.when(within, 0).otherwise(1).cast("long")
-    else:
-        enough = total >= check.at_least
-        within = enough if check.at_most is None else enough & (total <= check.at_most)
-        failed = F.when(within, 0).otherwise(1).cast("long")
+def _line(name: str, failed: Column) -> Column:
     return F.struct(
-        F.lit(check.name).alias("check_name"),
-        total.alias("total"),
+        F.lit(name).alias("check_name"),
+        F.col("total").alias("total"),
         failed.alias("failed"),
         (failed == 0).alias("passed"),
     )
 
 
+def _unless(condition: Column) -> Column:
+    return F.when(is_true(condition), 0).otherwise(1).cast("long")
+
+
+def _scan(df: DataFrame, checks: Sequence[RowCheck | RateCheck | CountCheck]) -> DataFrame:
+    """All checks that look at rows one by one: one pass, and only counts leave the tasks."""
+    counts = [F.count(F.lit(1)).alias("total")]
+    lines = []
+    total = F.col("total")
+    for i, check in enumerate(checks):
+        n = F.col(f"n_{i}")
+        if isinstance(check, RowCheck):
+            counts.append(F.count_if(~is_true(check.predicate)).alias(f"n_{i}"))
+            lines.append(_line(check.name, n))
+        elif isinstance(check, RateCheck):
+            counts.append(F.count_if(check.predicate).alias(f"n_{i}"))
+            lines.append(_line(check.name, _unless(F.try_divide(n, total).between(check.low, check.high))))
+        else:
+            enough = total >= check.at_least
+            fits = enough if check.at_most is None else enough & (total <= check.at_most)
+            lines.append(_line(check.name, _unless(fits)))
+    return df.agg(*counts).select(F.inline(F.array(*lines)))
+
+
+def _surplus(df: DataFrame, check: UniqueCheck) -> DataFrame:
+    """Rows beyond the first of each key. Only the key is read and shuffled, counted beforehand."""
+    per_key = df.groupBy(*check.keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus"),
+    )
+    return counts.select(F.inline(F.array(_line(check.name, F.col("surplus")))))
+
+
 def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Row, rate and count checks share one pass with the first key; each further key adds a pass."""
-    keyed = [c for c in checks if isinstance(c, UniqueCheck)]
-    others = [c for c in checks if not isinstance(c, UniqueCheck)]
-    passes: list[list[Check]] = [others + keyed[:1], *([c] for c in keyed[1:])]
-    parts = []
-    for group in passes:
-        if not group:
-            continue
-        keys = next((c.keys for c in group if isinstance(c, UniqueCheck)), ())
-        lines = F.array(*(_line(c, i) for i, c in enumerate(group)))
-        parts.append(_partials(df, group, keys).select(F.inline(lines)))
+    """One pass for all checks on single rows, and one over the key for each unique check."""
+    by_row = [c for c in checks if not isinstance(c, UniqueCheck)]
+    parts = [_scan(df, by_row)] if by_row else []
+    parts += [_surplus(df, c) for c in checks if isinstance(c, UniqueCheck)]
     return reduce(DataFrame.unionByName, parts)
 
 
