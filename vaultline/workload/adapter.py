@@ -6,15 +6,12 @@ transactions off ``events``; violations of every rule are planted on the way.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField
 
 from vaultline.operators.changes import ChangeFeed
 from vaultline.plans import bronze, silver
-from vaultline.schemas import RAW
+from vaultline.schemas import INGESTED_AT, RAW, SOURCE_FILE
 from vaultline.session import scratch_dir
 from vaultline.sources.landing import with_lineage
 
@@ -28,94 +25,66 @@ USER_CHANGES = ChangeFeed(
     except_columns=("props",),
 )
 
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-
-
-def _every(number: str, n: int) -> Column:
-    return F.col(number) % n == 0
-
-
-def _cycle(number: str, *values: str) -> Column:
-    position = F.col(number) % len(values)
-    return reduce(lambda c, i: c.when(position == i, values[i]), range(len(values)), F)
-
-
-def _text(number: str) -> Column:
-    return F.col(number).cast("string")
-
-
-def _customers(customer: DataFrame) -> DataFrame:
-    k = _text("c_custkey")
-    remainder = F.col("c_custkey") % 50
-    return customer.select(
-        k.alias("customer_id"),
-        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("full_name"),
-        F.when(remainder == 0, None)
-        .when(remainder == 1, F.concat(F.lit("noat"), k))
-        .otherwise(F.concat(F.lit(" User"), k, F.lit("@Example.COM ")))
-        .alias("email"),
-        F.concat(F.lit("+336"), F.lpad(k, 8, "0")).alias("phone"),
-        F.when(_every("c_custkey", 11), "unknown")
-        .otherwise(_cycle("c_custkey", "verified", "pending", "rejected"))
-        .alias("kyc_status"),
-        F.when(~_every("c_custkey", 23), _every("c_custkey", 17)).alias("is_deleted"),
-        F.lit("2024-01-01T00:00:00").alias("created_at"),
-        F.when(F.col("c_nationkey") != 24, _cycle("c_nationkey", "FR", "BE", "DE")).alias("nationality"),
-        "_ingested_at",
-        "_source_file",
-    )
-
-
-def _accounts(customer: DataFrame) -> DataFrame:
-    k = _text("c_custkey")
-    owner = F.expr("c_custkey div 3").cast("string")
-    return customer.select(
-        k.alias("account_id"),
-        F.when(~_every("c_custkey", 41), owner).alias("customer_id"),
-        _cycle("c_custkey", "checking", "savings", "business").alias("account_type"),
-        (F.col("c_acctbal") * 5).alias("balance"),
-        F.when(_every("c_custkey", 20), "USD").otherwise("EUR").alias("currency"),
-        _cycle("c_custkey", "active", "active", "active", "frozen", "closed").alias("status"),
-        F.lit("2024-01-01T00:00:00").alias("opened_at"),
-        F.concat(F.lit("FR76"), F.lpad(k, 14, "0")).alias("iban"),
-        "_ingested_at",
-        "_source_file",
-    )
-
-
-def _transactions(events: DataFrame) -> DataFrame:
-    e = _text("event_id")
-    fraud = (F.col("event_type") == "error") & _every("event_id", 10)
-    return events.select(
-        F.when(~_every("event_id", 307), e).alias("transaction_id"),
-        _text("user_id").alias("account_id"),
-        F.concat(F.lit("FR76"), F.lpad(e, 14, "0")).alias("counterpart_iban"),
-        F.when(_every("event_id", 211), -F.col("value"))
-        .when(~_every("event_id", 401), F.col("value") * 30)
-        .alias("amount"),
-        F.when(_every("event_id", 101), "USD").otherwise("EUR").alias("currency"),
-        F.col("event_type").alias("transaction_type"),
-        _cycle("event_id", "completed", "completed", "pending", "failed").alias("status"),
-        F.when(~_every("event_id", 601), fraud).alias("is_flagged_fraud"),
-        F.when(fraud, _cycle("event_id", "unusual_amount", "unusual_location", "velocity_check")).alias(
-            "fraud_reason"
-        ),
-        _cycle("event_id", "mobile", "web", "atm", "branch").alias("channel"),
-        F.when(_every("event_id", 503), "not-a-date")
-        .otherwise(F.date_format("ts", ISO_MICROS))
-        .alias("transaction_date"),
-        F.lit("2024-02-01T00:00:00").alias("created_at"),
-        "_ingested_at",
-        "_source_file",
-    )
+# The test tables used, and the bank entities as expressions over them.
+GIVEN = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
+FROM_CUSTOMER = {
+    "customer_id": "string(c_custkey)",
+    "full_name": "'  ' || c_name || ' '",
+    "email": "CASE c_custkey % 50 WHEN 0 THEN NULL WHEN 1 THEN 'noat' || c_custkey "
+    "ELSE ' User' || c_custkey || '@Example.COM ' END",
+    "phone": "'+336' || lpad(string(c_custkey), 8, '0')",
+    "kyc_status": "if(c_custkey % 11 = 0, 'unknown', elt(int(c_custkey % 3) + 1, 'verified', 'pending', 'rejected'))",
+    "is_deleted": "if(c_custkey % 23 = 0, NULL, c_custkey % 17 = 0)",
+    "created_at": "'2024-01-01T00:00:00'",
+    "nationality": "if(c_nationkey = 24, NULL, elt(c_nationkey % 3 + 1, 'FR', 'BE', 'DE'))",
+}
+
+FROM_CUSTOMER_ACCOUNT = {
+    "account_id": "string(c_custkey)",
+    "customer_id": "if(c_custkey % 41 = 0, NULL, string(c_custkey div 3))",
+    "account_type": "elt(int(c_custkey % 3) + 1, 'checking', 'savings', 'business')",
+    "balance": "c_acctbal * 5",
+    "currency": "if(c_custkey % 20 = 0, 'USD', 'EUR')",
+    "status": "elt(int(c_custkey % 5) + 1, 'active', 'active', 'active', 'frozen', 'closed')",
+    "opened_at": "'2024-01-01T00:00:00'",
+    "iban": "'FR76' || lpad(string(c_custkey), 14, '0')",
+}
+
+_FRAUD = "event_type = 'error' AND event_id % 10 = 0"
+FROM_EVENT = {
+    "transaction_id": "if(event_id % 307 = 0, NULL, string(event_id))",
+    "account_id": "string(user_id)",
+    "counterpart_iban": "'FR76' || lpad(string(event_id), 14, '0')",
+    "amount": "CASE WHEN event_id % 211 = 0 THEN -value WHEN event_id % 401 = 0 THEN NULL ELSE value * 30 END",
+    "currency": "if(event_id % 101 = 0, 'USD', 'EUR')",
+    "transaction_type": "event_type",
+    "status": "elt(int(event_id % 4) + 1, 'completed', 'completed', 'pending', 'failed')",
+    "is_flagged_fraud": f"if(event_id % 601 = 0, NULL, {_FRAUD})",
+    "fraud_reason": f"CASE WHEN {_FRAUD} THEN "
+    "elt(int(event_id % 3) + 1, 'unusual_amount', 'unusual_location', 'velocity_check') END",
+    "channel": "elt(int(event_id % 4) + 1, 'mobile', 'web', 'atm', 'branch')",
+    "transaction_date": "if(event_id % 503 = 0, 'not-a-date', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"))",
+    "created_at": "'2024-02-01T00:00:00'",
+}
 
 _SOURCES = {
-    "customers": ("customer", _customers),
-    "accounts": ("customer", _accounts),
-    "transactions": ("events", _transactions),
+    "customers": ("customer", FROM_CUSTOMER),
+    "accounts": ("customer", FROM_CUSTOMER_ACCOUNT),
+    "transactions": ("events", FROM_EVENT),
 }
 
+# Altered copies of events arriving before (0) and after (2) the originals (1).
+FEED = (
+    "inline(array_compact(array("
+    "if(event_id % 89 = 0, struct(event_id, -value AS amount, 0 AS arrival), NULL), "
+    "struct(event_id, value * 30 AS amount, 1 AS arrival), "
+    "if(event_id % 97 = 0, struct(event_id, value * 60 AS amount, 2 AS arrival), NULL))))"
+)
+
 
 class Bank:
     """The bank tables of one test-data folder, layer by layer."""
@@ -125,11 +94,12 @@ class Bank:
         self.sf_dir = sf_dir
 
     def given(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self.spark.read.schema(GIVEN[table]).parquet(f"{self.sf_dir}/{table}.parquet")
 
     def landed(self, entity: str) -> DataFrame:
-        table, project = _SOURCES[entity]
-        return project(with_lineage(self.given(table)))
+        table, columns = _SOURCES[entity]
+        expressions = (f"{expression} AS {name}" for name, expression in columns.items())
+        return with_lineage(self.given(table)).selectExpr(*expressions, INGESTED_AT, SOURCE_FILE)
 
     def raw_columns(self, entity: str) -> list[str]:
         return RAW[entity].names + EXTRA[entity]
@@ -150,20 +120,7 @@ class Bank:
         return {entity: self.silver(entity) for entity in _SOURCES}
 
     def duplicate_feed(self) -> DataFrame:
-        """All events, with altered copies arriving before (0) and after (2) the originals (1)."""
-        event, value = F.col("event_id"), F.col("value")
-        variants = {
-            0: (event % 89 == 0, -value),
-            1: (F.lit(True), value * 30),
-            2: (event % 97 == 0, value * 60),
-        }
-        parts = [
-            self.given("events")
-            .filter(chosen)
-            .select("event_id", amount.alias("amount"), F.lit(arrival).alias("arrival"))
-            for arrival, (chosen, amount) in variants.items()
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        return self.given("events").selectExpr(FEED)
 
     def scratch(self, label: str) -> str:
         return scratch_dir(self.spark, label)
