@@ -28,7 +28,8 @@ def test_every_silver_table_is_the_same_from_batch_and_stream(spark, sf_dir, scr
     bank = Bank(spark, sf_dir)
     for entity in ENTITIES:
         bank.bronze(entity).repartition(3).write.parquet(f"{scratch}/bronze/{entity}")
-        stored = stream_table(spark, f"{scratch}/bronze/{entity}", bronze_schema(entity, *EXTRA_FIELDS[entity]), 1)
+        schema = bronze_schema(entity, *EXTRA_FIELDS[entity])
+        stored = stream_table(spark, f"{scratch}/bronze/{entity}", schema, maxFilesPerTrigger=1)
         refined = silver.table(entity, stored, EXTRA[entity])
         progress = run_available(append_stream(refined, f"{scratch}/{entity}", f"{scratch}/cp/{entity}"))
         assert len([p for p in progress if p.numInputRows]) == 3
@@ -61,7 +62,12 @@ def test_triggered_refresh_in_steps_equals_one_batch(spark, sf_dir, scratch):
         land(bank, f"{scratch}/landing", chosen)
         counts.append(
             refresh.refresh_available(
-                spark, f"{scratch}/landing", f"{scratch}/stream", f"{scratch}/cp", EXTRA_FIELDS, max_files_per_trigger=4
+                spark,
+                f"{scratch}/landing",
+                f"{scratch}/stream",
+                f"{scratch}/cp",
+                EXTRA_FIELDS,
+                maxFilesPerTrigger=4,
             )
         )
     # nothing new landed, so nothing new is counted and the tables stay as they are
@@ -111,7 +117,7 @@ def test_a_failing_stream_stops_the_others_and_shows(spark, scratch):
 def test_stored_bronze_has_the_declared_layout(spark, sf_dir, scratch):
     bank = Bank(spark, sf_dir)
     bank.raw("transactions").write.json(f"{scratch}/landing")
-    landed = stream_landing(spark, f"{scratch}/landing", RAW["transactions"], max_files_per_trigger=1)
+    landed = stream_landing(spark, f"{scratch}/landing", RAW["transactions"], maxFilesPerTrigger=1)
     assert landed.isStreaming
     run_available(append_stream(landed, f"{scratch}/out", f"{scratch}/cp"))
     stored = [(f.name, f.dataType) for f in read_table(spark, f"{scratch}/out").schema.fields]

@@ -113,3 +113,29 @@ def test_many_rows_on_one_account_and_second(spark):
     )
     counts = velocity.velocity(hot).groupBy("transaction_date").agg(F.max("tx_count_24h").alias("n"))
     assert sorted(r.n for r in counts.collect()) == [6667, 13334, 20000]
+
+
+def test_adaptive_execution_splits_a_second_with_very_many_rows(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    hot = F.col("id") % 3 == 0
+    moves = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(hot, "hot").otherwise(F.col("id").cast("string")).alias("account_id"),
+        F.when(~hot, F.timestamp_seconds("id")).alias("transaction_date"),
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        counted = velocity.velocity(moves)
+        assert {(r.account_id == "hot", r.tx_count_24h) for r in counted.collect()} == {(True, 6667), (False, 1)}
+        assert "SortMergeJoin(skew=true)" in plan_of(counted)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -10,6 +10,9 @@ from vaultline.session import build_session
 from vaultline.sources import generator
 
 
+BATCH_BYTES = 256 * 1024**3
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="vaultline")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -23,7 +26,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("landing")
     run.add_argument("out")
     run.add_argument("--checkpoints", help="where stream progress is kept; without it, one batch run")
-    run.add_argument("--max-files-per-trigger", type=int)
+    run.add_argument(
+        "--max-bytes-per-trigger", type=int, default=BATCH_BYTES, help="size of one batch of a backlog"
+    )
+    run.add_argument("--salts", type=int, default=0, help="groups in which the copies of a key meet first")
     return parser.parse_args(argv)
 
 
@@ -38,7 +44,8 @@ def main(argv: list[str] | None = None) -> None:
             chosen.landing,
             chosen.out,
             chosen.checkpoints,
-            max_files_per_trigger=chosen.max_files_per_trigger,
+            salts=chosen.salts,
+            maxBytesPerTrigger=chosen.max_bytes_per_trigger,
         )
         print(json.dumps(counts, indent=2))
     else:

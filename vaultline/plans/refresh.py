@@ -86,13 +86,14 @@ def refresh_available(
     out: str,
     checkpoints: str,
     extras: Extras | None = None,
-    max_files_per_trigger: int | None = None,
     salts: int = 0,
+    **options: str | int,
 ) -> dict[str, dict[str, dict[str, int]]]:
     """Take in the files that landed since the last run and bring every table up to date.
 
     Returns rows and violations per rule, by layer and entity. ``salts`` is for feeds in which some
-    keys have very many copies; it shapes the state, so keep it the same from run to run.
+    keys have very many copies; it shapes the state, so keep it the same from run to run. ``options``
+    are those of the file source, such as ``maxBytesPerTrigger`` (a number of bytes).
     """
     extras = extras or {}
     counts = {}
@@ -106,15 +107,12 @@ def refresh_available(
         counts[layer] = {entity: rule_totals(progress[entity], f"{layer}_{entity}") for entity in tables}
 
     def landed(entity: str) -> DataFrame:
-        schema = _raw_schema(entity, extras)
-        files = stream_landing(
-            spark, f"{landing}/{entity}", schema, max_files_per_trigger=max_files_per_trigger
-        )
+        files = stream_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras), **options)
         return bronze.raw(entity, files, metrics=f"bronze_{entity}")
 
     def stored(entity: str) -> DataFrame:
         schema = bronze_schema(entity, *extras.get(entity, []))
-        return stream_table(spark, f"{out}/bronze/{entity}", schema, max_files_per_trigger)
+        return stream_table(spark, f"{out}/bronze/{entity}", schema, **options)
 
     def refined(entity: str) -> DataFrame:
         names = _extra_names(entity, extras)

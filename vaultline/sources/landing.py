@@ -32,16 +32,14 @@ def read_landing(
 
 
 def stream_landing(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    multi_line: bool = False,
-    max_files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, **options: str | int
 ) -> DataFrame:
-    """Each file is read once; the query's checkpoint remembers which were."""
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    """Each file is read once; the query's checkpoint remembers which were.
+
+    Of the file source's ``options``, ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` keep the
+    batches of a large backlog to a size the cluster can take at once.
+    """
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line).options(**options)
     return with_lineage(reader.json(path))
 
 

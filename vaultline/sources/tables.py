@@ -10,10 +10,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stream_table(
-    spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+def stream_table(spark: SparkSession, path: str, schema: StructType, **options: str | int) -> DataFrame:
+    """``options`` are those of the file source, such as ``maxBytesPerTrigger`` (a number of bytes)."""
+    return spark.readStream.schema(schema).options(**options).parquet(path)
