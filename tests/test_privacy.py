@@ -33,6 +33,20 @@ def test_views_mask_and_filter_on_clear_values(spark, people):
         spark.catalog.dropTempView(name)
 
 
+def test_all_policies_at_once_for_sql_readers(spark, people):
+    accounts = spark.createDataFrame([("a", "FR7630006000011234")], "account_id string, iban string")
+    moves = spark.createDataFrame([("t", "FR7630006000011234")], "transaction_id string, counterpart_iban string")
+    tables = {"customers": people, "accounts": accounts, "transactions": moves}
+    privacy.apply_policies(spark, tables, {"data-analysts-fr"})
+    try:
+        seen = spark.sql("SELECT full_name, email, phone FROM customers").collect()
+        assert [tuple(r) for r in seen] == [("ANONYMIZED", "d***@anonymized.com", "0000*****000")]
+        assert spark.sql("SELECT mask_iban(iban) FROM accounts").first()[0] == "FR76***234"
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+
+
 def test_nobody_sees_nothing_and_engineers_everything(people):
     policy = privacy.POLICIES["customers"]
     assert privacy.secure_view(people, policy).count() == 0

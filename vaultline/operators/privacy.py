@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions import masks
@@ -70,6 +70,17 @@ def publish(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def apply_policies(
+    spark: SparkSession, tables: Mapping[str, DataFrame], groups: Iterable[str] = ()
+) -> dict[str, DataFrame]:
+    """All of it for one reader: SQL functions, forgotten customers, masks and filters, named views."""
+    masks.register_sql(spark, groups)
+    forgotten = {**tables, "customers": anonymize(tables["customers"])}
+    views = secure_views(forgotten, groups)
+    publish(views)
+    return views
+
+
 def anonymize(customers: DataFrame) -> DataFrame:
     """Blank the identity of customers flagged as deleted; an unknown flag leaves the row alone."""
     before, after = FORGOTTEN_MAIL

@@ -71,6 +71,10 @@ def current_customers(spark: SparkSession, out: str) -> DataFrame:
 
 
 def refresh_batch(spark: SparkSession, landing: str, out: str, extras: Extras | None = None) -> None:
+    """Rebuild every table from all landed files.
+
+    Give it an output folder of its own: a folder that streams write to carries their log.
+    """
     extras = extras or {}
     for entity in ENTITIES:
         landed = read_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras))

@@ -35,11 +35,13 @@ FRAUD_PERCENT = 3
 DEFAULT_CUSTOMERS = 500
 DEFAULT_TRANSACTIONS = 5000
 
+ROWS_PER_TASK = 2_000_000
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def row_numbers(spark: SparkSession, n: int) -> DataFrame:
-    return spark.range(n)
+    partitions = max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
+    return spark.range(0, n, 1, partitions)
 
 
 def draw(row: Column, field: str) -> Column:
