@@ -29,13 +29,13 @@ def test_epoch_second_drops_fractions_downwards(spark):
 
 
 def test_names_and_mails(spark):
-    assert values(spark, "s string", [("  Zoé d'Or ",)], derive.shouted("s")) == ["ZOÉ D'OR"]
-    assert values(spark, "s string", [(" A@B.Com ",)], derive.whispered("s")) == ["a@b.com"]
+    assert values(spark, "s string", [("  Zoé d'Or ",)], derive.upper_trimmed("s")) == ["ZOÉ D'OR"]
+    assert values(spark, "s string", [(" A@B.Com ",)], derive.lower_trimmed("s")) == ["a@b.com"]
 
 
 def test_amounts_are_rounded_before_they_are_banded(spark):
     rows = [(99.994,), (99.996,), (999.99,), (1000.0,), (4999.99,), (5000.0,), (None,), (-3.0,)]
-    assert values(spark, "a double", rows, derive.amount_category(derive.to_cents("a"))) == [
+    assert values(spark, "a double", rows, derive.amount_category(derive.rounded_money("a"))) == [
         "small", "medium", "medium", "large", "large", "very_large", "very_large", "small",
     ]
 

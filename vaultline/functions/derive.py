@@ -39,15 +39,15 @@ def epoch_second(c: Column | str) -> Column:
     return _column(c).cast("timestamp").cast("long")
 
 
-def shouted(c: Column | str) -> Column:
+def upper_trimmed(c: Column | str) -> Column:
     return F.trim(F.upper(_column(c)))
 
 
-def whispered(c: Column | str) -> Column:
+def lower_trimmed(c: Column | str) -> Column:
     return F.trim(F.lower(_column(c)))
 
 
-def to_cents(c: Column | str) -> Column:
+def rounded_money(c: Column | str) -> Column:
     return F.round(_column(c), 2)
 
 

@@ -31,22 +31,22 @@ def _derived(entity: str, strict: bool) -> list[dict[str, Column]]:
         return [
             {
                 "created_at": derive.parse_timestamp("created_at", strict),
-                "full_name": derive.shouted("full_name"),
-                "email": derive.whispered("email"),
+                "full_name": derive.upper_trimmed("full_name"),
+                "email": derive.lower_trimmed("email"),
             }
         ]
     if entity == "accounts":
         return [
             {
                 "opened_at": derive.parse_timestamp("opened_at", strict),
-                "balance": derive.to_cents("balance"),
+                "balance": derive.rounded_money("balance"),
             },
             {"is_high_balance": derive.is_high_balance()},
         ]
     return [
         {
             "transaction_date": derive.parse_timestamp("transaction_date", strict),
-            "amount": derive.to_cents("amount"),
+            "amount": derive.rounded_money("amount"),
         },
         {"amount_category": derive.amount_category(), "is_suspicious": derive.is_suspicious()},
     ]
