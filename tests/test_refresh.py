@@ -18,6 +18,10 @@ def test_generated_files_to_named_gold_tables(spark, scratch, capsys):
         assert streamed.count() > 0
         assert streamed.exceptAll(batch).count() == 0 == batch.exceptAll(streamed).count()
     assert refresh.current_customers(spark, out).count() == 60
+    capsys.readouterr()
+    job.main(["compact", out])
+    assert capsys.readouterr().out.strip() == "0"
+    assert refresh.current_customers(spark, out).count() == 60
 
     spark.sql("CREATE DATABASE IF NOT EXISTS refresh_test")
     try:

@@ -74,7 +74,7 @@ def test_triggered_refresh_in_steps_equals_one_batch(spark, sf_dir, scratch):
     idle = refresh.refresh_available(spark, f"{scratch}/landing", f"{scratch}/stream", f"{scratch}/cp", EXTRA_FIELDS)
     assert sum(table.get("rows", 0) for layer in idle.values() for table in layer.values()) == 0
 
-    refresh.refresh_batch(spark, f"{scratch}/landing", f"{scratch}/batch", EXTRA_FIELDS)
+    batch_counts = refresh.refresh_batch(spark, f"{scratch}/landing", f"{scratch}/batch", EXTRA_FIELDS)
     for table, dropped in {
         "silver/customers": INGESTED_AT, "silver/accounts": INGESTED_AT, "silver/transactions": INGESTED_AT,
         "gold/customer_360": UPDATED_AT, "gold/fraud_alerts": UPDATED_AT,
@@ -96,7 +96,7 @@ def test_triggered_refresh_in_steps_equals_one_batch(spark, sf_dir, scratch):
                 r.name: whole.filter(f"NOT coalesce({r.predicate}, false)").count() for r in book[entity]
             }
             got = {name: sum(c[layer][entity].get(name, 0) for c in counts) for name in want}
-            assert got == want, (layer, entity)
+            assert got == want == batch_counts[layer][entity], (layer, entity)
 
 
 def test_a_failing_stream_stops_the_others_and_shows(spark, scratch):

@@ -1,4 +1,4 @@
-"""Job entry: python -m vaultline {generate,refresh} ... (or the same through spark-submit)."""
+"""Job entry: python -m vaultline {generate,refresh,compact} ... (or the same through spark-submit)."""
 
 from __future__ import annotations
 
@@ -30,6 +30,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--max-bytes-per-trigger", type=int, default=BATCH_BYTES, help="size of one batch of a backlog"
     )
     run.add_argument("--salts", type=int, default=0, help="groups in which the copies of a key meet first")
+
+    fold = commands.add_parser("compact", help="fold the change folders of the customers into one base")
+    fold.add_argument("out")
     return parser.parse_args(argv)
 
 
@@ -38,6 +41,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if chosen.command == "generate":
         generator.write_landing(spark, chosen.landing, chosen.customers, chosen.transactions)
+    elif chosen.command == "compact":
+        print(refresh.compact_customers(spark, chosen.out))
     elif chosen.checkpoints:
         counts = refresh.refresh_available(
             spark,
@@ -49,7 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(json.dumps(counts, indent=2))
     else:
-        refresh.refresh_batch(spark, chosen.landing, chosen.out)
+        counts = refresh.refresh_batch(spark, chosen.landing, chosen.out)
+        print(json.dumps(counts, indent=2))
 
 
 if __name__ == "__main__":

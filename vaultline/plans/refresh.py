@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructField, StructType
 
@@ -15,7 +15,7 @@ from vaultline.schemas import bronze as bronze_schema
 from vaultline.sinks import append_stream, overwrite, register_tagged, write_clustered
 from vaultline.sources.landing import read_landing, stream_landing
 from vaultline.sources.tables import read_table, stream_table
-from vaultline.streaming.changes import read_current, write_changes
+from vaultline.streaming.changes import compact, read_current, write_changes
 from vaultline.streaming.run import rule_totals, run_together
 
 ENTITIES = tuple(RAW)
@@ -42,6 +42,8 @@ TABLES = (
 CUSTOMERS_CDC = "silver/customers_cdc"
 
 Extras = dict[str, list[StructField]]
+# By layer, entity, and rule (or "rows").
+RuleCounts = dict[str, dict[str, dict[str, int]]]
 
 
 def _raw_schema(entity: str, extras: Extras) -> StructType:
@@ -70,18 +72,34 @@ def current_customers(spark: SparkSession, out: str) -> DataFrame:
     return read_current(spark, CUSTOMER_CHANGES, f"{out}/{CUSTOMERS_CDC}")
 
 
-def refresh_batch(spark: SparkSession, landing: str, out: str, extras: Extras | None = None) -> None:
-    """Rebuild every table from all landed files.
+def compact_customers(spark: SparkSession, out: str) -> int:
+    """Keep reading the change-capture table cheap; run it between refreshes, now and then."""
+    return compact(spark, CUSTOMER_CHANGES, f"{out}/{CUSTOMERS_CDC}")
+
+
+def refresh_batch(
+    spark: SparkSession, landing: str, out: str, extras: Extras | None = None
+) -> RuleCounts:
+    """Rebuild every table from all landed files; returns rows and violations per rule.
 
     Give it an output folder of its own: a folder that streams write to carries their log.
     """
     extras = extras or {}
+    watched = {
+        layer: {entity: Observation(f"{layer}_{entity}") for entity in ENTITIES}
+        for layer in ("bronze", "silver")
+    }
     for entity in ENTITIES:
         landed = read_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras))
-        overwrite(bronze.raw(entity, landed), f"{out}/bronze/{entity}")
+        overwrite(bronze.raw(entity, landed, watched["bronze"][entity]), f"{out}/bronze/{entity}")
         stored = read_table(spark, f"{out}/bronze/{entity}")
-        overwrite(silver.table(entity, stored, _extra_names(entity, extras)), f"{out}/silver/{entity}")
+        names = _extra_names(entity, extras)
+        refined = silver.table(entity, stored, names, metrics=watched["silver"][entity])
+        overwrite(refined, f"{out}/silver/{entity}")
     write_gold(spark, out)
+    return {
+        layer: {entity: watch.get for entity, watch in tables.items()} for layer, tables in watched.items()
+    }
 
 
 def refresh_available(
@@ -92,7 +110,7 @@ def refresh_available(
     extras: Extras | None = None,
     salts: int = 0,
     **options: str | int,
-) -> dict[str, dict[str, dict[str, int]]]:
+) -> RuleCounts:
     """Take in the files that landed since the last run and bring every table up to date.
 
     Returns rows and violations per rule, by layer and entity. ``salts`` is for feeds in which some
@@ -100,7 +118,7 @@ def refresh_available(
     are those of the file source, such as ``maxBytesPerTrigger`` (a number of bytes).
     """
     extras = extras or {}
-    counts = {}
+    counts: RuleCounts = {}
 
     def run_layer(layer: str, tables: dict[str, DataFrame], **others: DataStreamWriter) -> None:
         sinks = {

@@ -417,7 +417,8 @@ def masked_accounts(bank: Bank) -> DataFrame:
     ),
 )
 def masked_transactions(bank: Bank) -> DataFrame:
-    return privacy.secure_views(bank.all_silver(), NOBODY)["transactions"].drop(INGESTED_AT)
+    policy = privacy.POLICIES["transactions"]
+    return privacy.secure_view(bank.silver("transactions"), policy, NOBODY).drop(INGESTED_AT)
 
 
 READERS = {
