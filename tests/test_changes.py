@@ -1,3 +1,4 @@
+import os
 import random
 
 from hypothesis import HealthCheck, given, settings
@@ -109,3 +110,20 @@ def test_compaction_is_repeatable_and_ignores_an_unfinished_base(spark, scratch)
     assert found(read_current(spark, FEED, f"{scratch}/target")) == expected(rows)
     assert [compact(spark, FEED, f"{scratch}/target") for _ in range(3)] == [0, 0, 0]
     assert found(read_current(spark, FEED, f"{scratch}/target")) == expected(rows)
+
+
+def test_a_batch_that_is_run_again_changes_nothing(spark, scratch):
+    rows = feed_rows(2)
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{scratch}/landing/part_0")
+    source = stream_table(spark, f"{scratch}/landing/*", spark.createDataFrame([], SCHEMA).schema)
+
+    def run():
+        done = run_available(write_changes(source, FEED, f"{scratch}/target", f"{scratch}/checkpoint"))
+        return [p.batchId for p in done if p.numInputRows]
+
+    assert run() == [0]
+    # As after a driver that was lost between writing the batch and noting that it is done.
+    for name in ("0", ".0.crc"):
+        os.remove(f"{scratch}/checkpoint/commits/{name}")
+    assert run() == [0]
+    assert found(read_current(spark, FEED, f"{scratch}/target")) == expected(rows)
