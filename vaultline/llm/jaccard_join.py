@@ -178,7 +178,7 @@ def _prefixes(percent: int, index_cost: float = 1.0, verify_cost: float = 8.0, m
 def _candidates(index: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
     """``a, b``: first the pairs of each document with the best pivot of its lists, then, given the
     components of these, all pairs of different components that pass the prefix test."""
-    tokens = index.select("rep", "n", "lonely", F.explode("prefix").alias("token"))
+    tokens = index.select("rep", "n", "lonely", F.posexplode("prefix").alias("place", "token"))
     if labels is None:
         # The document with the fewest shingles of its own stands in the middle of its copies.
         pivots = tokens.groupBy("token").agg(
@@ -189,19 +189,20 @@ def _candidates(index: DataFrame, labels: DataFrame | None, percent: int) -> Dat
         best = counted.groupBy("rep").agg(F.max(F.struct("met", (-F.col("pivot")).alias("low"))).alias("best"))
         return best.select(F.col("rep").alias("a"), (-F.col("best.low")).alias("b"))
     tokens = tokens.join(labels, tokens["rep"] == labels["id"], "left").select(
-        "token", "rep", F.coalesce("component", "rep").alias("component")
+        "token", "rep", "place", F.coalesce("component", "rep").alias("component")
     )
     mixed = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rows = tokens.join(mixed.where("low != high").select("token"), "token", "left_semi")
-    rows = rows.join(index, "rep").select("token", "component", "rep", "n", "lonely", "matches", "prefix")
+    left_over = (F.col("n") - F.col("lonely") - F.col("place")).alias("left_over")  # this shingle and all later ones
+    rows = rows.join(index, "rep").select("token", "component", "rep", "n", left_over, "matches", "prefix")
     left, right = (rows.select("token", *(F.col(c).alias(c + s) for c in rows.columns[1:])) for s in ("_a", "_b"))
-    may_share = F.expr("least(n_a - lonely_a, n_b - lonely_b)")
+    may_share = F.least("left_over_a", "left_over_b")  # if this is the first shingle that both have
     met = F.array_intersect("prefix_a", "prefix_b")
     return (
         left.join(right, "token")
         .where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")))
         .where(_similar(may_share, F.col("n_a"), F.col("n_b"), percent))
-        .where((F.size(met) >= F.least("matches_a", "matches_b")) & (F.array_min(met) == F.col("token")))
+        .where((F.size(met) >= F.least("matches_a", "matches_b")) & (F.get(met, F.lit(0)) == F.col("token")))
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     )
 
