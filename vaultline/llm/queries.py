@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vaultline.llm.itq_dedup import itq_components
 from vaultline.llm.jaccard_join import jaccard_components
 from vaultline.llm.tables import table
 
 
+def itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_components(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_itq_dedup": itq_dedup,
     "op9_jaccard_join": jaccard_join,
 }
 
