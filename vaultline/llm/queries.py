@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.llm.crf_quality import fit_field, score_quality
 from vaultline.llm.itq_dedup import itq_components
 from vaultline.llm.jaccard_join import jaccard_components
+from vaultline.llm.kneser_ney import judge_perplexity
+from vaultline.llm.longest_match import count_tokens, read_pieces
 from vaultline.llm.mixing import mix_sources
+from vaultline.llm.piece_matching import encode_documents, load_pieces
 from vaultline.llm.tables import table
 from vaultline.llm.template_lines import drop_recurring_lines
 from vaultline.llm.url_trie import judge_urls
@@ -29,6 +33,11 @@ RULES = [
 ]
 
 
+# Vocabulary files of public tokenizers.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+PIECE_LIST = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def _case(column: str, weights: dict[str, int]) -> str:
     return f"case {column} " + " ".join(f"when '{k}' then {w}" for k, w in weights.items()) + " else 1 end"
 
@@ -91,6 +100,15 @@ def itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq_components(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_field(docs, table(spark, sf_dir, "labels")))
+
+
+def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_perplexity(table(spark, sf_dir, "documents"))
+
+
 def url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
@@ -118,16 +136,28 @@ def template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(table(spark, sf_dir, "documents"))
 
 
+def piece_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), load_pieces(PIECE_MODEL))
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), read_pieces(PIECE_LIST))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing,
     "op2_itq_dedup": itq_dedup,
+    "op3_crf_quality": crf_quality,
+    "op4_kneser_ney": kneser_ney,
     "op6_url_trie": url_trie,
     "op7_template_lines": template_lines,
+    "op8_piece_matching": piece_matching,
     "op9_jaccard_join": jaccard_join,
+    "op10_longest_match": longest_match,
 }
 
 ORACLES: dict[str, str] = {"op1_mixing": MIXING_SQL, "op6_url_trie": URL_SQL}

@@ -50,6 +50,22 @@ def chunks(texts: Sequence[str | None], limit: int = CHUNK) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of each span of bytes: a polynomial, from running sums, so no span is cut out."""
+    size = 1 << max(21, int(len(buffer)).bit_length())
+    up, down = _powers(size)
+    sums = np.zeros(len(buffer) + 1, dtype=_U64)
+    np.cumsum(_BYTE[buffer] * up[: len(buffer)], out=sums[1:])
+    starts = np.minimum(starts, size - 1)
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U64))
+
+
+def word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of bytes that end with white space."""
+    edges = np.flatnonzero(np.diff(WHITE[buffer].view(np.int8), prepend=np.int8(1)))
+    return edges[0::2], edges[1::2]
+
+
 class Words:
     """Words are runs of bytes other than ASCII white space; a null text has none.
 
@@ -61,19 +77,12 @@ class Words:
         self.buffer = np.frombuffer(b" ".join([*encoded, b""]) or b" ", dtype=np.uint8)
         if lower:
             self.buffer = LOWER[self.buffer]
-        white = WHITE[self.buffer]
-        edges = np.flatnonzero(np.diff(white.view(np.int8), prepend=np.int8(1)))
-        self.starts, self.ends = edges[0::2], edges[1::2]
+        self.starts, self.ends = word_spans(self.buffer)
         offsets = np.cumsum([0, *(len(x) + 1 for x in encoded)])
         self.first = np.searchsorted(self.starts, offsets)
 
     def hashes(self) -> np.ndarray:
-        """Of each word: a polynomial of its bytes, from running sums, so no word is cut out."""
-        size = 1 << max(21, int(len(self.buffer)).bit_length())
-        up, down = _powers(size)
-        sums = np.zeros(len(self.buffer) + 1, dtype=_U64)
-        np.cumsum(_BYTE[self.buffer] * up[: len(self.buffer)], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(_U64))
+        return span_hashes(self.buffer, self.starts, self.ends)
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
