@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.fitting import logistic_fit, minimise, sigmoid, summed
@@ -232,6 +232,22 @@ def fit_field(docs: DataFrame, labels: DataFrame) -> Field:
     return field
 
 
+def judged(text: Column, field: Field) -> Column:
+    """A struct of ``score`` and ``good_share`` for whole texts, to be used beside any other columns."""
+
+    @F.pandas_udf("score double, good_share double")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            texts, parts = texts.tolist(), [(np.zeros(0), np.zeros(0))]
+            for part in chunks(texts):
+                means, share = field.document_means(texts[part])
+                parts.append((field.scores(means), share))
+            scores, shares = (np.concatenate(x) for x in zip(*parts))
+            yield pd.DataFrame({"score": scores, "good_share": shares})
+
+    return judge(text)
+
+
 def score_quality(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id, held_out, score, predicted, good_share`` for each row of ``docs`` (doc_id, text; others are
     not read).
@@ -241,23 +257,10 @@ def score_quality(docs: DataFrame, field: Field) -> DataFrame:
     whole text counts. A null or empty text is one empty line. Repeated rows are scored each; an empty
     table gives no rows.
     """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for part in chunks(texts):
-                means, share = field.document_means(texts[part])
-                yield pd.DataFrame(
-                    {"doc_id": frame["doc_id"].iloc[part], "score": field.scores(means), "good_share": share}
-                )
-
-    scored = docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInPandas(
-        run, "doc_id long, score double, good_share double"
-    )
-    return scored.select(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), judged(F.col("text"), field).alias("found")).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
-        "good_share",
+        "found.score",
+        (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
+        "found.good_share",
     )

@@ -17,6 +17,7 @@ from vaultline.llm.piece_matching import encode_documents, load_pieces
 from vaultline.llm.tables import table
 from vaultline.llm.template_lines import drop_recurring_lines
 from vaultline.llm.url_trie import judge_urls
+from vaultline.llm.weak_toxicity import score_toxicity
 
 # The mix: weights of the tree's nodes; what isn't named has weight 1.
 DOMAIN = "concat('domain', coalesce(try_cast(substring(source, 4) as int) % 3, 0))"
@@ -109,6 +110,10 @@ def kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_perplexity(table(spark, sf_dir, "documents"))
 
 
+def weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
@@ -153,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_itq_dedup": itq_dedup,
     "op3_crf_quality": crf_quality,
     "op4_kneser_ney": kneser_ney,
+    "op5_weak_toxicity": weak_toxicity,
     "op6_url_trie": url_trie,
     "op7_template_lines": template_lines,
     "op8_piece_matching": piece_matching,
