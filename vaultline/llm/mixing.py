@@ -19,11 +19,12 @@ def _water_filled(nodes: DataFrame, parents: list[str], node: str) -> DataFrame:
     What a node cannot use rises the level for its siblings. In order of capacity by weight, the level
     that fills the rest is highest at the first node that it does not fill, so its maximum is the level.
     """
-    ranked = Window.partitionBy(*parents).orderBy(F.col("capacity") / F.col("weight"), node)
+    siblings = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
+    ranked = siblings.orderBy(F.col("capacity") / F.col("weight"), node)
     before = F.coalesce(F.sum("capacity").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     left = F.sum("weight").over(ranked.rowsBetween(0, Window.unboundedFollowing))
     level = ((F.col("budget") - before) / left).alias("level")
-    highest = F.max("level").over(Window.partitionBy(*parents))
+    highest = F.max("level").over(siblings)
     share = F.least(F.col("capacity"), F.floor(highest * F.col("weight")))
     return nodes.select("*", level).withColumn("share", F.greatest(share, F.lit(0))).drop("level")
 
@@ -38,15 +39,15 @@ def leaf_budgets(leaves: DataFrame, weights: list[Column], percent: int, epochs:
     """
     zero = F.least(*(F.coalesce(w.cast("long"), F.lit(0)) for w in weights)) <= 0
     budgets = leaves.withColumn("capacity", F.when(zero, 0).otherwise(F.col("tokens") * epochs))
-    total = leaves.agg(F.floor(F.sum("tokens") * percent / 100).alias("budget")).withColumn("mix_root", F.lit(0))
-    above, parents = total, ["mix_root"]
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    above = None
     for depth, weight in enumerate(weights):
-        keys = LEVELS[: depth + 1]
-        nodes = budgets.withColumn("mix_root", F.lit(0)).groupBy("mix_root", *keys).agg(F.sum("capacity").alias("capacity"))
+        parents, keys = LEVELS[:depth], LEVELS[: depth + 1]
+        nodes = budgets.groupBy(*keys).agg(F.sum("capacity").alias("capacity"))
         nodes = nodes.withColumn("weight", F.greatest(F.coalesce(weight.cast("long"), F.lit(0)), F.lit(0)))
-        filled = _water_filled(nodes.join(above, parents), parents, keys[-1])
-        above, parents = filled.select("mix_root", *keys, F.col("share").alias("budget")), ["mix_root", *keys]
-    return leaves.join(above.drop("mix_root"), LEVELS)
+        given = nodes.join(above, parents) if depth else nodes.withColumn("budget", F.lit(total * percent // 100))
+        above = _water_filled(given, parents, keys[-1]).select(*keys, F.col("share").alias("budget"))
+    return leaves.join(above, LEVELS)
 
 
 def mix_sources(
