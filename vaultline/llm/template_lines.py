@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.spans import chunks, mix, span_hashes, word_spans
 from vaultline.llm.tables import written
 
 WHITE = r"[\x20\x09-\x0D]+"
-VARIABLE = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"  # a token with a digit
+VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"  # a token with a digit
 FIELD = "<*>"
+ODD = np.uint64(0x9E3779B97F4A7C15)
 DEPTH = 4  # leading tokens that, after the token count, lead down the tree
 MIN_TOKENS = 4  # shorter lines recur by chance
 MIN_EQUAL = 6  # tokens that a line must have in common with a template that it isn't equal to
@@ -18,27 +24,42 @@ TEMPLATES = 2  # templates with free fields that one leaf may learn
 ADDED = ["n_lines", "n_dropped"]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, place, leaf, content, masked``: lines as token lists with number fields made equal."""
-    lines = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    masked = F.regexp_replace("line", VARIABLE, FIELD)
-    cleaned = F.regexp_replace(F.regexp_replace(masked, f"^{WHITE}|{WHITE}$", ""), WHITE, " ")
-    tokens = F.split("masked", " ")
-    return (
-        lines.select("doc_id", "place", cleaned.alias("masked"))
-        .select("doc_id", "place", "masked", tokens.alias("tokens"))
-        .where(F.size("tokens") >= MIN_TOKENS)
-        .select(
-            "doc_id",
-            "place",
-            F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"),
-            F.xxhash64("masked").alias("content"),
-            "masked",
-        )
-    )
+def _indexed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``doc_id, place, leaf, content`` of all lines with enough tokens; a token with a digit is a field."""
+    for frame in frames:
+        texts = frame["text"].tolist()
+        for part in chunks(texts):
+            encoded = [(t or "").encode("utf-8", "surrogatepass") + b"\n" for t in texts[part]]
+            buffer = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+            line_ends = np.flatnonzero(buffer == 10)
+            bounds = np.searchsorted(line_ends, np.cumsum([0, *(len(e) for e in encoded)]))
+            starts, ends = word_spans(buffer)
+            tokens = span_hashes(buffer, starts, ends)
+            digits = np.concatenate([[0], np.cumsum((buffer >= ord("0")) & (buffer <= ord("9")))])
+            tokens[digits[ends] > digits[starts]] = 0
+            line_of = np.searchsorted(line_ends, starts)
+            count = np.bincount(line_of, minlength=len(line_ends))
+            first = np.cumsum(count) - count
+            within = (np.arange(len(tokens)) - first[line_of]).astype(np.uint64)
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(tokens + within * ODD), dtype=np.uint64)])
+            lines = np.flatnonzero(count >= MIN_TOKENS)
+            size = count[lines].astype(np.uint64)
+            leaf = size
+            for k in range(DEPTH):
+                leaf = mix(leaf * ODD + tokens[first[lines] + k])
+            content = mix(sums[first[lines] + count[lines]] - sums[first[lines]] + size)
+            document = np.searchsorted(bounds, lines, side="right") - 1
+            yield pd.DataFrame(
+                {
+                    "doc_id": frame["doc_id"].iloc[part].to_numpy()[document],
+                    "place": lines - bounds[document],
+                    "leaf": leaf.view(np.int64),
+                    "content": content.view(np.int64),
+                }
+            )
 
 
-def _learnt(contents: DataFrame, lines: DataFrame) -> DataFrame:
+def _learnt(contents: DataFrame, docs: DataFrame) -> DataFrame:
     """``content, template`` for the lines that share a template with free fields.
 
     In each leaf the line that most documents have becomes a template, and takes in the lines that agree
@@ -46,10 +67,14 @@ def _learnt(contents: DataFrame, lines: DataFrame) -> DataFrame:
     """
     leaves = contents.groupBy("leaf").agg(F.min("content").alias("low"), F.max("content").alias("high"))
     several = contents.join(leaves.where("low != high").select("leaf"), "leaf", "left_semi")
-    texts = lines.join(
-        several.select("content", F.col("lo").alias("doc_id"), "n"), ["content", "doc_id"]
-    ).select("leaf", "content", "n", "masked")
-    left = written(texts.dropDuplicates(["leaf", "content"]), "line-texts")
+    several = several.select(F.col("at.doc_id").alias("doc_id"), F.col("at.place").alias("place"), "leaf", "content", "n")
+    masked = F.regexp_replace(F.regexp_replace("line", f"^{WHITE}|{WHITE}$", ""), VARIABLE, FIELD)
+    texts = (
+        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+        .join(written(several, "line-several"), ["doc_id", "place"])
+        .select("leaf", "content", "n", F.regexp_replace(masked, WHITE, " ").alias("masked"))
+    )
+    left = written(texts.dropDuplicates(["content"]), "line-texts")
     found = None
     for _ in range(TEMPLATES):
         heads = left.groupBy("leaf").agg(F.max(F.struct("n", "content", "masked")).alias("head"))
@@ -86,16 +111,18 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     with a null doc_id, which also count for nothing. Rows that share a doc_id are one document. A line
     that is repeated within one document only stays. An empty table gives no rows.
     """
-    lines = _lines(docs)
-    index = written(lines.drop("masked"), "line-index")
+    whole = docs.where("doc_id is not null").selectExpr("cast(doc_id as long) doc_id", "text")
+    index = written(whole.mapInPandas(_indexed, "doc_id long, place int, leaf long, content long"), "line-index")
     contents = written(
         index.groupBy("leaf", "content").agg(
-            F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")
+            F.min(F.struct("doc_id", "place")).alias("at"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")
         ),
         "line-contents",
     )
-    learnt = _learnt(contents, lines)
-    named = contents.join(learnt, "content", "left").withColumn("template", F.coalesce("template", "content"))
+    learnt = _learnt(contents, whole)
+    named = contents.join(learnt, "content", "left").select(
+        "content", F.coalesce("template", "content").alias("template"), F.col("at.doc_id").alias("lo"), "hi"
+    )
     templates = named.groupBy("template").agg(F.min("lo").alias("first_doc"), F.max("hi").alias("last_doc"))
     recurring = (
         named.join(templates.where("first_doc != last_doc"), "template")
