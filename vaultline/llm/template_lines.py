@@ -21,6 +21,7 @@ MIN_TOKENS = 4  # shorter lines recur by chance
 MIN_EQUAL = 6  # tokens that a line must have in common with a template that it isn't equal to
 SIMILAR = 80  # per cent of them
 TEMPLATES = 2  # templates with free fields that one leaf may learn
+BUCKETS = 1 << 20  # bound of the broadcast filter on lines; the join after it is exact
 ADDED = ["n_lines", "n_dropped"]
 
 
@@ -69,9 +70,13 @@ def _learnt(contents: DataFrame, docs: DataFrame) -> DataFrame:
     several = contents.join(leaves.where("low != high").select("leaf"), "leaf", "left_semi")
     several = several.select(F.col("at.doc_id").alias("doc_id"), F.col("at.place").alias("place"), "leaf", "content", "n")
     masked = F.regexp_replace(F.regexp_replace("line", f"^{WHITE}|{WHITE}$", ""), VARIABLE, FIELD)
+    several = written(several, "line-several")
+    bucket = f"pmod(xxhash64(doc_id, place), {BUCKETS})"
+    buckets = several.select(F.expr(bucket).alias("bucket")).distinct()
     texts = (
         docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-        .join(written(several, "line-several"), ["doc_id", "place"])
+        .join(F.broadcast(buckets), F.expr(bucket) == buckets["bucket"], "left_semi")
+        .join(several, ["doc_id", "place"])
         .select("leaf", "content", "n", F.regexp_replace(masked, WHITE, " ").alias("masked"))
     )
     left = written(texts.dropDuplicates(["content"]), "line-texts")
