@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame
 from vaultline.llm.spans import chunks, span_hashes
 
 SPACE, MARK = b" ", "▁".encode()  # the model's sign for a space
-CHUNK = 6_000_000
-CACHE = 3_000_000  # tokens of segments that a task remembers
+CHUNK = 3_000_000  # characters of texts at once
+BATCH = 1_000_000  # bytes of new segments in one suffix array, about; a longer segment makes a larger one
+CACHE = 5_000_000  # tokens of segments that a worker remembers
 NEVER = np.int64(1) << 40
 
 
@@ -276,9 +278,11 @@ class Encoder:
         if len(self.tokens) > CACHE:
             self.forget()
         new = np.array([i for i, h in enumerate(unique) if h not in self.known], dtype=np.int64)
-        if len(new):
-            tokens, bounds = encode_segments(self.pieces, text, starts[where[new]], ends[where[new]])
-            self.known.update(zip((unique[i] for i in new.tolist()), range(len(self.offset) - 1, len(self.offset) - 1 + len(new))))
+        sizes = np.cumsum((ends - starts)[where[new]])
+        for part in np.split(new, np.flatnonzero(np.diff(sizes // BATCH)) + 1) if len(new) else ():
+            tokens, bounds = encode_segments(self.pieces, text, starts[where[part]], ends[where[part]])
+            slot = len(self.offset) - 1
+            self.known.update(zip((unique[i] for i in part.tolist()), range(slot, slot + len(part))))
             self.offset = np.concatenate([self.offset, self.offset[-1] + bounds[1:]])
             self.tokens = np.concatenate([self.tokens, tokens])
         slots = np.array([self.known[h] for h in unique], dtype=np.int64)[which] if unique else np.zeros(0, np.int64)
@@ -293,6 +297,17 @@ class Encoder:
         return [(r[1:] if r[:1] == SPACE else r).decode("utf-8", "replace") for r in raw]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def shared_encoder(digest: str, pieces: dict) -> Encoder:
+    """The encoder of this worker, which keeps its segments from task to task; it has one model at a time."""
+    if digest not in _encoders:
+        _encoders.clear()
+        _encoders[digest] = Encoder(Pieces(**pieces))
+    return _encoders[digest]
+
+
 def encode_documents(docs: DataFrame, pieces: Pieces) -> DataFrame:
     """``doc_id, token_ids, n_tokens, decoded`` for each row of ``docs`` (doc_id, text; others are not read).
 
@@ -302,9 +317,10 @@ def encode_documents(docs: DataFrame, pieces: Pieces) -> DataFrame:
     gives no rows.
     """
     model = docs.sparkSession.sparkContext.broadcast(vars(pieces))
+    digest = hashlib.md5(b"".join(array.tobytes() for array in vars(pieces).values())).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Pieces(**model.value))
+        encoder = shared_encoder(digest, model.value)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for part in chunks(texts, CHUNK):
