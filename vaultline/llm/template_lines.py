@@ -148,9 +148,16 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     own = [
         (text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in ADDED
     ]
-    joined = docs.select(F.struct("*").alias("row")).join(
-        written(dropped, "line-drops"), F.col("row.doc_id") == F.col("line_doc"), "left"
+    drops = written(dropped, "line-drops")
+    buckets = drops.select(F.expr(f"pmod(xxhash64(line_doc), {BUCKETS})").alias("bucket")).distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    hit = F.pmod(F.xxhash64(F.col("row.doc_id").cast("long")), F.lit(BUCKETS)) == buckets["bucket"]
+    # Texts that keep all their lines need no shuffle.
+    touched = rows.join(F.broadcast(buckets), hit, "left_semi").join(
+        drops, F.col("row.doc_id") == F.col("line_doc"), "left"
     )
+    others = rows.join(F.broadcast(buckets), hit, "left_anti").withColumn("places", F.lit(None).cast("array<int>"))
+    joined = touched.select("row", "places").unionByName(others)
     return joined.select(
         *own,
         F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
