@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from vaultline.llm.spans import chunks, span_hashes
 
 SPACE, MARK = b" ", "▁".encode()  # the model's sign for a space
-CHUNK = 3_000_000  # characters of texts at once
-BATCH = 1_000_000  # bytes of new segments in one suffix array, about; a longer segment makes a larger one
+CHUNK = 2_000_000  # characters of texts at once
+BATCH = 300_000  # bytes of new segments in one suffix array, about; a longer segment makes a larger one
 CACHE = 5_000_000  # tokens of segments that a worker remembers
 NEVER = np.int64(1) << 40
 
@@ -169,7 +169,7 @@ def _occurrences(pieces: Pieces, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
     high = np.searchsorted(heads, np.array([n.ljust(8 * words, b"\xff") for n in names]), side="right")
     counts = high - low
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
-    return suffixes[place], np.repeat(pieces.usable, counts)
+    return suffixes[place].astype(np.int32), np.repeat(pieces.usable, counts).astype(np.int32)
 
 
 def encode_segments(pieces: Pieces, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +183,7 @@ def encode_segments(pieces: Pieces, text: np.ndarray, starts: np.ndarray, ends:
     limit = np.repeat(own + sizes, sizes + 1)
 
     start, piece = _occurrences(pieces, joined)
-    length = np.diff(pieces.offset)[piece]
+    length = np.diff(pieces.offset).astype(np.int32)[piece]
     # Characters that are no piece: an edge of their own, with the id after the last.
     lead = ((joined & 0xC0) != 0x80) & (np.arange(len(joined)) < limit)
     heads = np.flatnonzero(lead)
@@ -194,9 +194,9 @@ def encode_segments(pieces: Pieces, text: np.ndarray, starts: np.ndarray, ends:
     single = np.zeros(len(joined), dtype=bool)
     single[start[length == character[start]]] = True
     strange = heads[~single[heads]]
-    start = np.concatenate([start, strange])
-    piece = np.concatenate([piece, np.full(len(strange), pieces.count)])
-    length = np.concatenate([length, character[strange]])
+    start = np.concatenate([start, strange.astype(np.int32)])
+    piece = np.concatenate([piece, np.full(len(strange), pieces.count, dtype=np.int32)])
+    length = np.concatenate([length, character[strange].astype(np.int32)])
 
     end = start + length
     longest = int(length.max()) + 1
@@ -215,7 +215,7 @@ def encode_segments(pieces: Pieces, text: np.ndarray, starts: np.ndarray, ends:
             first = start[at] == base[start[at]]
             good = first | (before >= 0)
             ask = np.flatnonzero(good & ~first)
-            good[ask] = _fit(pieces, before[ask], piece[at[ask]])
+            good[ask] = _fit(pieces, before[ask], piece[at[ask]].astype(np.int64))
             done = at[good]
             best[end[done]], origin[end[done]] = piece[done], start[done]
             more = ~good & (at + 1 < stop)
