@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultline.session import scratch_dir
 
+BUCKETS = 1 << 22  # bound of a broadcast filter on keys
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -25,3 +26,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Rows kept from every training; a null id is not held out, and has no label either."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
+def near_keys(df: DataFrame, keys: list[str], of: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose keys fall into a bucket with a key of ``of``: all that match, and few more.
+
+    Nothing is shuffled: at most BUCKETS numbers are broadcast. An exact join comes after it; on tables so
+    large that most buckets are taken, that join alone does the work.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    taken = of.select(bucket.alias("near_bucket")).distinct()
+    return df.join(F.broadcast(taken), bucket == taken["near_bucket"], "left_semi")

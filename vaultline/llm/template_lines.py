@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.spans import chunks, mix, span_hashes, word_spans
-from vaultline.llm.tables import written
+from vaultline.llm.tables import BUCKETS, near_keys, written
 
 WHITE = r"[\x20\x09-\x0D]+"
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"  # a token with a digit
@@ -21,7 +21,6 @@ MIN_TOKENS = 4  # shorter lines recur by chance
 MIN_EQUAL = 6  # tokens that a line must have in common with a template that it isn't equal to
 SIMILAR = 80  # per cent of them
 TEMPLATES = 2  # templates with free fields that one leaf may learn
-BUCKETS = 1 << 20  # bound of the broadcast filter on lines; the join after it is exact
 ADDED = ["n_lines", "n_dropped"]
 
 
@@ -67,15 +66,14 @@ def _learnt(contents: DataFrame, docs: DataFrame) -> DataFrame:
     with it in most places; then again for those that are left.
     """
     leaves = contents.groupBy("leaf").agg(F.min("content").alias("low"), F.max("content").alias("high"))
-    several = contents.join(leaves.where("low != high").select("leaf"), "leaf", "left_semi")
+    leaves = written(leaves.where("low != high").select("leaf"), "line-leaves")
+    several = near_keys(contents, ["leaf"], leaves).join(leaves, "leaf", "left_semi")
     several = several.select(F.col("at.doc_id").alias("doc_id"), F.col("at.place").alias("place"), "leaf", "content", "n")
     masked = F.regexp_replace(F.regexp_replace("line", f"^{WHITE}|{WHITE}$", ""), VARIABLE, FIELD)
     several = written(several, "line-several")
-    bucket = f"pmod(xxhash64(doc_id, place), {BUCKETS})"
-    buckets = several.select(F.expr(bucket).alias("bucket")).distinct()
+    split = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     texts = (
-        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-        .join(F.broadcast(buckets), F.expr(bucket) == buckets["bucket"], "left_semi")
+        near_keys(split, ["doc_id", "place"], several)
         .join(several, ["doc_id", "place"])
         .select("leaf", "content", "n", F.regexp_replace(masked, WHITE, " ").alias("masked"))
     )
@@ -124,18 +122,18 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
         ),
         "line-contents",
     )
-    learnt = _learnt(contents, whole)
-    named = contents.join(learnt, "content", "left").select(
-        "content", F.coalesce("template", "content").alias("template"), F.col("at.doc_id").alias("lo"), "hi"
-    )
+    learnt = written(_learnt(contents, whole), "line-learnt")
+    spans = contents.select("content", F.col("at.doc_id").alias("lo"), "hi")
+    named = written(near_keys(spans, ["content"], learnt).join(learnt, "content"), "line-named")
     templates = named.groupBy("template").agg(F.min("lo").alias("first_doc"), F.max("hi").alias("last_doc"))
-    recurring = (
-        named.join(templates.where("first_doc != last_doc"), "template")
-        .where("not (lo = hi and lo = first_doc)")
-        .select("content", "first_doc")
+    shared = named.join(templates.where("first_doc != last_doc"), "template").where("not (lo = hi and lo = first_doc)")
+    alone = spans.where("lo != hi").join(named.select("content"), "content", "left_anti")
+    recurring = written(
+        shared.select("content", "first_doc").unionByName(alone.select("content", F.col("lo").alias("first_doc"))),
+        "line-recurring",
     )
     dropped = (
-        index.select("doc_id", "place", "content")
+        near_keys(index.select("doc_id", "place", "content"), ["content"], recurring)
         .join(recurring, "content")
         .where("doc_id != first_doc")
         .groupBy("doc_id")
@@ -149,15 +147,15 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
         (text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in ADDED
     ]
     drops = written(dropped, "line-drops")
-    buckets = drops.select(F.expr(f"pmod(xxhash64(line_doc), {BUCKETS})").alias("bucket")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    hit = F.pmod(F.xxhash64(F.col("row.doc_id").cast("long")), F.lit(BUCKETS)) == buckets["bucket"]
-    # Texts that keep all their lines need no shuffle.
-    touched = rows.join(F.broadcast(buckets), hit, "left_semi").join(
-        drops, F.col("row.doc_id") == F.col("line_doc"), "left"
+    # Texts that surely keep all their lines need no shuffle.
+    bucket = F.pmod(F.xxhash64("line_doc"), F.lit(BUCKETS))
+    taken = F.broadcast(drops.select(bucket.alias("bucket")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("line_doc"))
+    touched = rows.join(taken, bucket == taken["bucket"], "left_semi").join(drops, "line_doc", "left")
+    others = rows.join(taken, bucket == taken["bucket"], "left_anti")
+    joined = touched.select("row", "places").unionByName(
+        others.select("row", F.lit(None).cast("array<int>").alias("places"))
     )
-    others = rows.join(F.broadcast(buckets), hit, "left_anti").withColumn("places", F.lit(None).cast("array<int>"))
-    joined = touched.select("row", "places").unionByName(others)
     return joined.select(
         *own,
         F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
