@@ -19,6 +19,7 @@ RUNS = 1 << (ORDER * SYMBOL_BITS)
 PAD, END = 0, 1
 LOWER_A, UPPER_A, DIGIT, SPACE, LINE, STOP, MARK, SIGN, OTHER = 2, 28, 54, 55, 56, 57, 58, 59, 60
 SIGNS = "#*$%&|<>"
+COUNTED = 2_000_000  # characters counted at once
 MIN_WORDS = 50
 REPEATED_PERCENT = 50
 FENCE = 4.0  # interquartile ranges beyond the quartiles of a language
@@ -67,7 +68,7 @@ def count_runs(docs: DataFrame) -> DataFrame:
         counts = np.zeros(RUNS, dtype=np.int64)
         for frame in frames:
             texts = frame["text"].tolist()
-            for part in chunks(texts):
+            for part in chunks(texts, COUNTED):
                 counts += np.bincount(symbol_runs(texts[part])[0], minlength=RUNS)
         seen = np.flatnonzero(counts)
         for start in range(0, len(seen), 100_000):

@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK = 2_000_000  # characters handled at once; a longer text makes a chunk of its own
+CHUNK = 500_000  # characters handled at once; a longer text makes a chunk of its own
 
 _U64 = np.uint64
 _ODD = _U64(0x9E3779B97F4A7C15)
@@ -52,7 +52,7 @@ def chunks(texts: Sequence[str | None], limit: int = CHUNK) -> Iterator[slice]:
 
 def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Of each span of bytes: a polynomial, from running sums, so no span is cut out."""
-    size = 1 << max(21, int(len(buffer)).bit_length())
+    size = 1 << max(20, int(len(buffer)).bit_length())
     up, down = _powers(size)
     sums = np.zeros(len(buffer) + 1, dtype=_U64)
     np.cumsum(_BYTE[buffer] * up[: len(buffer)], out=sums[1:])

@@ -140,24 +140,30 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("place").alias("places"))
         .select(F.col("doc_id").alias("line_doc"), "places")
     )
-    split = F.split(F.col("row.text"), "\n")
-    kept = F.filter(split, lambda line, place: ~F.array_contains("places", place))
-    text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    own = [
-        (text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in ADDED
-    ]
     drops = written(dropped, "line-drops")
     # Texts that surely keep all their lines need no shuffle.
     bucket = F.pmod(F.xxhash64("line_doc"), F.lit(BUCKETS))
     taken = F.broadcast(drops.select(bucket.alias("bucket")).distinct())
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("line_doc"))
-    touched = rows.join(taken, bucket == taken["bucket"], "left_semi").join(drops, "line_doc", "left")
+    # The drops grow with the corpus, so they are joined in the same way at every size.
+    touched = rows.join(taken, bucket == taken["bucket"], "left_semi").join(drops.hint("merge"), "line_doc", "left")
     others = rows.join(taken, bucket == taken["bucket"], "left_anti")
     joined = touched.select("row", "places").unionByName(
         others.select("row", F.lit(None).cast("array<int>").alias("places"))
     )
-    return joined.select(
-        *own,
-        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("places").isNull(), 0).otherwise(F.size(split) - F.size(kept)).cast("long").alias("n_dropped"),
+    split = F.split(F.col("row.text"), "\n")
+    kept = F.filter(split, lambda line, place: ~F.array_contains("places", place))
+    lost = F.col("places").isNotNull()
+    # In a step of its own, as the columns of docs may have any names.
+    cleaned = joined.select(
+        "row",
+        F.when(lost, F.array_join(kept, "\n")).otherwise(F.col("row.text")).alias("line_text"),
+        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("line_count"),
+        F.when(lost, F.size(split) - F.size(kept)).otherwise(0).cast("long").alias("line_lost"),
     )
+    own = [
+        F.col("line_text").alias(c) if c == "text" else F.col("row").getField(c).alias(c)
+        for c in docs.columns
+        if c not in ADDED
+    ]
+    return cleaned.select(*own, *(F.col(c).alias(name) for c, name in zip(("line_count", "line_lost"), ADDED)))
