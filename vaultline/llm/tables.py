@@ -23,6 +23,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: fewer of them in an Arrow batch bound what a Python worker holds at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept from every training; a null id is not held out, and has no label either."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
