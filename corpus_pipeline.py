@@ -12,7 +12,7 @@ from vaultline.llm.jaccard_join import jaccard_components
 from vaultline.llm.mixing import mix_sources
 from vaultline.llm.piece_matching import encode_documents, load_pieces
 from vaultline.llm.queries import DOMAIN, MIX_EPOCHS, MIX_PERCENT, MIX_SEED, PIECE_MODEL, mix_weights
-from vaultline.llm.tables import WORD, table, written
+from vaultline.llm.tables import WORD, short_batches, table, written
 from vaultline.llm.template_lines import drop_recurring_lines
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,12 +20,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality field rejects go."""
+    short_batches(spark)
     field = fit_field(docs, table(spark, sf_dir, "labels"))
     return docs.where(judged(F.col("text"), field)["score"] >= 0.5)
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go, and with them the documents that had nothing else; n_chars follows the text."""
+    short_batches(spark)
     left = drop_recurring_lines(docs).where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
     sizes = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", sizes.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
@@ -33,6 +35,7 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id. Rows without an id stay."""
+    short_batches(spark)
     others = jaccard_components(docs).where("doc_id != component_id").select("doc_id").distinct()
     return docs.join(written(others, "near-duplicates"), "doc_id", "left_anti").select(docs.columns)
 
@@ -45,6 +48,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and the texts that they decode to."""
+    short_batches(spark)
     return encode_documents(docs, load_pieces(PIECE_MODEL))
 
 
