@@ -121,3 +121,9 @@ def test_sql_functions_agree_with_the_columns(spark, groups):
         F.expr("rls_by_nationality(c)").eqNullSafe(masks.rls_by_nationality("c", groups)).alias("rls"),
     )
     assert row.filter("NOT (email AND phone AND iban AND rls)").count() == 0
+
+
+def test_one_text_is_not_a_set_of_groups(spark):
+    for function in (masks.mask_email, masks.mask_phone, masks.mask_iban, masks.rls_by_nationality):
+        with pytest.raises(TypeError):
+            function("c", "former-data-engineers")

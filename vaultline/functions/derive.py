@@ -90,15 +90,12 @@ def alert_level(
     velocity: Column | str = "velocity_alerts_count",
 ) -> Column:
     n, v = _column(frauds), _column(velocity)
-    ladder = [
-        (n > CRITICAL_FRAUD_ABOVE, "critical"),
-        (n > HIGH_FRAUD_ABOVE, "high"),
-        (v > MEDIUM_VELOCITY_ABOVE, "medium"),
-    ]
-    level = F
-    for reached, label in ladder:
-        level = level.when(reached, label)
-    return level.otherwise("low")
+    return (
+        F.when(n > CRITICAL_FRAUD_ABOVE, "critical")
+        .when(n > HIGH_FRAUD_ABOVE, "high")
+        .when(v > MEDIUM_VELOCITY_ABOVE, "medium")
+        .otherwise("low")
+    )
 
 
 def requires_investigation(level: Column | str = "alert_level") -> Column:

@@ -42,11 +42,3 @@ def first_per_key(
             df = df.withColumn("_salt", salt).dropDuplicates([*keys, "_salt"]).drop("_salt")
         return df.dropDuplicates(list(keys))
     return leading_row(df, keys, [F.col(c).asc_nulls_first() for c in arrival if c in df.columns])
-
-
-def first_within(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Streaming first arrival that forgets a key ``delay`` after its event time.
-
-    For feeds whose copies come at most ``delay`` apart; the state then stays bounded.
-    """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

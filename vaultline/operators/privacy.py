@@ -44,7 +44,7 @@ def secure_view(df: DataFrame, policy: TablePolicy, groups: Iterable[str] = ())
     missing = policy.columns() - set(df.columns)
     if missing:
         raise ValueError(f"policy on unknown columns: {sorted(missing)}")
-    reader = frozenset(groups)
+    reader = masks.reader_groups(groups)
     if policy.row_filter:
         column, visible = policy.row_filter
         df = df.filter(visible(F.col(column), reader))
@@ -61,6 +61,7 @@ def secure_views(
     if unknown:
         raise ValueError(f"policies on unknown tables: {sorted(unknown)}")
     nothing = TablePolicy()
+    groups = masks.reader_groups(groups)
     return {name: secure_view(df, policies.get(name, nothing), groups) for name, df in tables.items()}
 
 
@@ -74,6 +75,7 @@ def apply_policies(
     spark: SparkSession, tables: Mapping[str, DataFrame], groups: Iterable[str] = ()
 ) -> dict[str, DataFrame]:
     """All of it for one reader: SQL functions, forgotten customers, masks and filters, named views."""
+    groups = masks.reader_groups(groups)  # once: an iterator would be empty for the views
     masks.register_sql(spark, groups)
     forgotten = {**tables, "customers": anonymize(tables["customers"])}
     views = secure_views(forgotten, groups)

@@ -45,9 +45,9 @@ def row_numbers(spark: SparkSession, n: int) -> DataFrame:
 
 
 def draw(row: Column, field: str) -> Column:
-    """A 32-bit number that depends only on the row number and the field name."""
+    """A 60-bit number that depends only on the row number and the field name."""
     digest = F.md5(F.concat(row.cast("string"), F.lit(f":{field}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def identifier(row: Column, entity: str) -> Column:

@@ -200,7 +200,7 @@ def union(selects: list[str]) -> str:
 
 # The generator's hash and the fields made of it.
 def draw(row: str, field: str) -> str:
-    return f"CAST('0x' || substr(md5(CAST({row} AS VARCHAR) || ':{field}'), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5(CAST({row} AS VARCHAR) || ':{field}'), 1, 15) AS BIGINT)"
 
 
 def identifier(row: str, entity: str) -> str:

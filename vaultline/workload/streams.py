@@ -81,32 +81,13 @@ def stream_dedup(bank: Bank) -> DataFrame:
     return read_table(bank.spark, f"{root}/out")
 
 
-@query("stream_dedup_watermark", "SELECT event_id, ts FROM events")
-def stream_dedup_watermark(bank: Bank) -> DataFrame:
-    """Each third of the time span lands with every row twice; state older than an hour is let go."""
-    root = bank.scratch("stream")
-    events = bank.given("events").select("event_id", F.col("ts").cast("timestamp"))
-    feed = events.unionAll(events)
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    cuts = [first, first + (last - first) / 3, first + (last - first) * 2 / 3, None]
-    for part, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        inside = F.col("ts") >= low
-        if high is not None:
-            inside &= F.col("ts") < high
-        feed.filter(inside).write.parquet(f"{root}/landing/part_{part}")
-        landed = stream_table(bank.spark, f"{root}/landing/*", feed.schema)
-        kept = dedup.first_within(landed, ["event_id"], "ts", "1 hour")
-        run_available(append_stream(kept, f"{root}/out", f"{root}/checkpoint"))
-    return read_table(bank.spark, f"{root}/out")
-
-
 @query("cdc_stream_scd1", CURRENT_USERS_SQL)
 def cdc_stream_scd1(bank: Bank) -> DataFrame:
     """Changes land in four interleaved parts out of order, with a compaction halfway."""
     root = bank.scratch("stream")
     events = bank.given("events")
     for run, part in enumerate((2, 0, 3, 1)):
-        events.filter(F.col("event_id") % 4 == part).write.parquet(f"{root}/landing/part_{part}")
+        events.filter(F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(4)) == part).write.parquet(f"{root}/landing/part_{part}")
         landed = stream_table(bank.spark, f"{root}/landing/*", events.schema)
         run_available(write_changes(landed, USER_CHANGES, f"{root}/users", f"{root}/checkpoint"))
         if run == 1:
