@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from compare import TABLES, rows  # noqa: E402
 from conftest import plan_of  # noqa: E402
+from vaultline.workload import ORACLES, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -20,14 +21,15 @@ def duck(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
     assert entry.entry(spark).count() == 15
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, duck, sf_dir, name):
     frame = entry.queries()[name](spark, sf_dir)
     result = duck.sql(entry.oracle_sql()[name])
