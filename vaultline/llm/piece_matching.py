@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from vaultline.llm.spans import chunks, span_hashes
 
 SPACE, MARK = b" ", "▁".encode()  # the model's sign for a space
-CHUNK = 1_000_000  # characters of texts at once
-BATCH = 300_000  # bytes of new segments in one suffix array, about; a longer segment makes a larger one
+CHUNK = 500_000  # characters of texts at once
+BATCH = 150_000  # bytes of new segments in one suffix array, about; a longer segment makes a larger one
 CACHE = 5_000_000  # tokens of segments that a worker remembers
 NEVER = np.int64(1) << 40
 
