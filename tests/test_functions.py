@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.errors import DateTimeException
@@ -127,3 +128,15 @@ def test_one_text_is_not_a_set_of_groups(spark):
     for function in (masks.mask_email, masks.mask_phone, masks.mask_iban, masks.rls_by_nationality):
         with pytest.raises(TypeError):
             function("c", "former-data-engineers")
+
+
+def test_money_sums_take_any_number(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "m double").agg(derive.money_sum("m")).first()[0]
+
+    assert total(0.1, 0.2, None) == 0.3
+    assert total(None) is None
+    assert total(1e17, 1.0) == 1e17 + 1
+    assert total(1e30, 1e30) == 2e30
+    assert total(10.0, float("inf")) == float("inf")
+    assert math.isnan(total(10.0, float("nan")))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaultline import session, sinks
-from vaultline.schemas import INGESTED_AT, RAW, SOURCE_FILE
+from vaultline.plans.customer_360 import CLUSTER_COLUMNS
+from vaultline.schemas import INGESTED_AT, MALFORMED, RAW, SOURCE_FILE, SOURCE_TIME
 from vaultline.sources import generator, landing
 from vaultline.streaming.run import run_available
 
@@ -21,7 +22,7 @@ def land(spark, path, n=20):
 def test_landed_rows_carry_file_and_time(spark, scratch):
     land(spark, scratch)
     landed = landing.read_landing(spark, scratch, RAW["accounts"])
-    assert landed.columns == [*RAW["accounts"].names, INGESTED_AT, SOURCE_FILE]
+    assert landed.columns == [*RAW["accounts"].names, MALFORMED, INGESTED_AT, SOURCE_FILE, SOURCE_TIME]
     row = landed.agg(F.count("*"), F.count(INGESTED_AT), F.count_if(F.col(SOURCE_FILE).contains(scratch))).first()
     assert tuple(row) == (20, 20, 20)
 
@@ -38,7 +39,7 @@ def test_one_array_per_file_needs_multi_line(spark, tmp_path):
 def test_json_lines_keep_every_value(spark, scratch):
     made = generator.transactions(generator.row_numbers(spark, 300), 10)
     sinks.write_json(made, scratch)
-    back = landing.read_landing(spark, scratch, RAW["transactions"]).drop(INGESTED_AT, SOURCE_FILE)
+    back = landing.read_landing(spark, scratch, RAW["transactions"]).drop(MALFORMED, INGESTED_AT, SOURCE_FILE, SOURCE_TIME)
     assert back.exceptAll(made).count() == 0 == made.exceptAll(back).count()
 
 
@@ -116,3 +117,11 @@ def test_scratch_is_the_shared_folder_and_local_only_on_a_local_master():
 def test_generated_moments_default_to_this_year(spark):
     made = generator.customers(generator.row_numbers(spark, 50)).agg(F.min("created_at")).first()[0]
     assert made >= f"{dt.datetime.now().year}-01-01"
+
+
+def test_clustered_files_differ_in_their_scores(spark, scratch):
+    scores = F.element_at(F.array(F.lit("high"), F.lit("low"), F.lit("medium")), (F.col("id") % 3 + 1).cast("int"))
+    rows = spark.range(3000).select(F.col("id").alias("customer_id"), scores.alias("risk_score"))
+    sinks.write_clustered(rows, scratch, *CLUSTER_COLUMNS, partitions=6)
+    files = spark.read.parquet(scratch).groupBy("_metadata.file_path").agg(F.countDistinct("risk_score").alias("scores"))
+    assert files.where("scores > 2").count() == 0 < files.where("scores = 1").count()

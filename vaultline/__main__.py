@@ -29,7 +29,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument(
         "--max-bytes-per-trigger", type=int, default=BATCH_BYTES, help="size of one batch of a backlog"
     )
-    run.add_argument("--salts", type=int, default=0, help="groups in which the copies of a key meet first")
+    run.add_argument(
+        "--salts", type=int, default=refresh.SALTS, help="groups in which the copies of a key meet first"
+    )
+    run.add_argument("--multi-line", action="store_true", help="a file holds one array over several lines")
+    run.add_argument(
+        "--found-fields", action="store_true", help="also keep fields beyond the known ones; reads all files once more"
+    )
 
     fold = commands.add_parser("compact", help="fold the change folders of the customers into one base")
     fold.add_argument("out")
@@ -43,18 +49,23 @@ def main(argv: list[str] | None = None) -> None:
         generator.write_landing(spark, chosen.landing, chosen.customers, chosen.transactions)
     elif chosen.command == "compact":
         print(refresh.compact_customers(spark, chosen.out))
-    elif chosen.checkpoints:
+    if chosen.command != "refresh":
+        return
+    extras = refresh.found_extras(spark, chosen.landing, chosen.multi_line) if chosen.found_fields else None
+    if chosen.checkpoints:
         counts = refresh.refresh_available(
             spark,
             chosen.landing,
             chosen.out,
             chosen.checkpoints,
+            extras,
             salts=chosen.salts,
+            multi_line=chosen.multi_line,
             maxBytesPerTrigger=chosen.max_bytes_per_trigger,
         )
         print(json.dumps(counts, indent=2))
     else:
-        counts = refresh.refresh_batch(spark, chosen.landing, chosen.out)
+        counts = refresh.refresh_batch(spark, chosen.landing, chosen.out, extras, chosen.multi_line)
         print(json.dumps(counts, indent=2))
 
 

@@ -19,6 +19,8 @@ HIGH_FRAUD_ABOVE = 1
 MEDIUM_VELOCITY_ABOVE = 3
 INVESTIGATED_LEVELS = ("critical", "high")
 
+EXACT_BELOW = 1e15  # from here on a double has no cents
+
 
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -102,6 +104,13 @@ def requires_investigation(level: Column | str = "alert_level") -> Column:
     return is_true(_column(level).isin(*INVESTIGATED_LEVELS))
 
 
-def money_sum(c: Column | str, digits: int = 18) -> Column:
-    """Sum of two-decimal money that does not depend on the order rows arrive in."""
-    return F.sum(_column(c).cast(f"decimal({digits},2)")).cast("double")
+def money_sum(c: Column | str) -> Column:
+    """Sum of two-decimal money that does not depend on the order rows arrive in.
+
+    Values of EXACT_BELOW and more, infinities and NaN, which have no exact cents, are added as doubles.
+    """
+    value = _column(c)
+    exact = F.abs(value) < EXACT_BELOW
+    cents = F.sum(F.when(exact, value).cast("decimal(18,2)")).cast("double")
+    others = F.sum(F.when(~exact, value))
+    return F.when(others.isNull(), cents).otherwise(others + F.coalesce(cents, F.lit(0.0)))

@@ -17,18 +17,26 @@ class ChangeFeed:
     """How to read a feed of changes.
 
     ``sequence`` lists SQL expressions, most significant first; a row without a sequence is the
-    oldest. ``delete_when`` marks a row as a delete only where it is true.
+    oldest. ``delete_when`` marks a row as a delete only where it is true. With ``deleted_keep``, a delete
+    keeps only these columns and the keys; list at least those that the sequence and the delete read.
     """
 
     keys: Sequence[str]
     sequence: Sequence[str]
     delete_when: str | None = None
     except_columns: Sequence[str] = ()
+    deleted_keep: Sequence[str] | None = None
 
     def newest(self, changes: DataFrame) -> DataFrame:
         """Newest row per key, deletes included: a late older row can then not revive a key."""
         order = [F.expr(s).desc_nulls_last() for s in self.sequence]
-        return leading_row(changes.drop(*self.except_columns), self.keys, order)
+        return self._stripped(leading_row(changes.drop(*self.except_columns), self.keys, order))
+
+    def _stripped(self, newest: DataFrame) -> DataFrame:
+        if self.deleted_keep is None:
+            return newest
+        blank = [c for c in newest.columns if c not in (*self.keys, *self.deleted_keep)]
+        return newest.withColumns({c: F.when(~self.is_delete(), F.col(c)) for c in blank})
 
     def is_delete(self) -> Column:
         return is_true(F.expr(self.delete_when)) if self.delete_when else F.lit(False)

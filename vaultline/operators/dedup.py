@@ -7,23 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.schemas import INGESTED_AT, SOURCE_FILE
+from vaultline.schemas import INGESTED_AT, SOURCE_FILE, SOURCE_TIME
 
-ARRIVAL = (INGESTED_AT, SOURCE_FILE)
+ARRIVAL = (SOURCE_TIME, INGESTED_AT, SOURCE_FILE)
 
 
 def leading_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The row of each key that sorts first; ties go by the other columns, so reruns agree.
+    """The row of each key that sorts first; ties go by a hash of the other columns, so reruns agree.
 
     Spark cuts ``row_number() = 1`` down to one row per key and task before it shuffles, so a key
-    that owns much of the table costs no more than any other.
+    that owns much of the table costs no more than any other. The hash is made before the shuffle, so
+    columns that nobody reads later are not shuffled.
     """
     rest = [c for c in df.columns if c not in keys]
-    ranked = Window.partitionBy(*keys).orderBy(*order, *rest)
+    ranked = Window.partitionBy(*keys).orderBy(*order, "_tie")
     return (
-        df.withColumn("_position", F.row_number().over(ranked))
+        df.withColumn("_tie", F.xxhash64(*rest) if rest else F.lit(0))
+        .withColumn("_position", F.row_number().over(ranked))
         .filter(F.col("_position") == 1)
-        .drop("_position")
+        .drop("_position", "_tie")
     )
 
 
@@ -33,8 +35,8 @@ def first_per_key(
     """First arrival per key. A stream keeps every key it has ever seen in the state store.
 
     On a stream, ``salts`` lets the copies of a key first meet in that many groups, each passing on
-    one row, before they meet as a key. It relieves the task of a key with very many copies, at the
-    price of a second state.
+    one row, before they meet as a key. It relieves the task of a key with very many copies, such as the
+    rows without a key, at the price of a second state.
     """
     if df.isStreaming:
         if salts:

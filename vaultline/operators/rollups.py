@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from vaultline.functions.derive import money_sum
 
-MEAN_DIGITS = 6
-
 
 def tx_metrics(transactions: DataFrame) -> DataFrame:
     """Per account, over transactions of every status."""
@@ -38,7 +36,7 @@ def accounts_with_tx_metrics(accounts: DataFrame, metrics: DataFrame) -> DataFra
 
 
 def account_metrics(accounts: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Per customer. The average is the plain mean of the account means, to six decimals."""
+    """Per customer. The average is the plain mean of the account means."""
     return (
         accounts_with_tx_metrics(accounts, metrics)
         .groupBy("customer_id")
@@ -46,8 +44,8 @@ def account_metrics(accounts: DataFrame, metrics: DataFrame) -> DataFrame:
             F.count("account_id").alias("total_accounts"),
             money_sum("balance").alias("total_balance"),
             F.sum("total_transactions").alias("total_transactions"),
-            money_sum("total_amount_spent", digits=28).alias("total_amount_spent"),
-            F.round(F.avg("avg_transaction_amount"), MEAN_DIGITS).alias("avg_transaction_amount"),
+            money_sum("total_amount_spent").alias("total_amount_spent"),
+            F.avg("avg_transaction_amount").alias("avg_transaction_amount"),
             F.max("last_transaction_date").alias("last_transaction_date"),
             F.sum("fraud_count").alias("total_fraud_count"),
         )

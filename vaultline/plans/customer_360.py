@@ -9,7 +9,7 @@ from vaultline.functions.derive import risk_score
 from vaultline.operators.rollups import account_metrics, tx_metrics
 from vaultline.schemas import CUSTOMER_360, UPDATED_AT
 
-CLUSTER_COLUMNS = ("customer_id", "risk_score")
+CLUSTER_COLUMNS = ("risk_score", "customer_id")  # the id alone is unique, it would leave the score unordered
 
 
 def scored_accounts(accounts: DataFrame, transactions: DataFrame) -> DataFrame:

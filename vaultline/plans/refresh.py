@@ -10,10 +10,10 @@ from vaultline.operators.changes import ChangeFeed
 from vaultline.plans import bronze, silver
 from vaultline.plans.customer_360 import CLUSTER_COLUMNS, customer_360
 from vaultline.plans.fraud_alerts import fraud_alerts
-from vaultline.schemas import INGESTED_AT, RAW, SOURCE_FILE, with_extra
+from vaultline.schemas import INGESTED_AT, MALFORMED, RAW, SOURCE_FILE, SOURCE_TIME, with_extra
 from vaultline.schemas import bronze as bronze_schema
 from vaultline.sinks import append_stream, overwrite, register_tagged, write_clustered
-from vaultline.sources.landing import read_landing, stream_landing
+from vaultline.sources.landing import read_landing, stream_landing, unknown_fields
 from vaultline.sources.tables import read_table, stream_table
 from vaultline.streaming.changes import compact, read_current, write_changes
 from vaultline.streaming.run import rule_totals, run_together
@@ -25,7 +25,8 @@ CUSTOMER_CHANGES = ChangeFeed(
     keys=("customer_id",),
     sequence=("try_to_timestamp(created_at)", INGESTED_AT),
     delete_when="is_deleted = true",
-    except_columns=(SOURCE_FILE,),
+    except_columns=(MALFORMED, SOURCE_FILE, SOURCE_TIME),
+    deleted_keep=("created_at", "is_deleted", INGESTED_AT),
 )
 
 # Catalog name, stored folder, comment and tags of each table.
@@ -40,6 +41,7 @@ TABLES = (
     ("fraud_alerts", "gold/fraud_alerts", "Fraud indicators of every active account", {"quality": "gold"}),
 )
 CUSTOMERS_CDC = "silver/customers_cdc"
+SALTS = 16  # groups in which the copies of a key meet first on a stream
 
 Extras = dict[str, list[StructField]]
 # By layer, entity, and rule (or "rows").
@@ -54,9 +56,24 @@ def _extra_names(entity: str, extras: Extras) -> list[str]:
     return [f.name for f in extras.get(entity, [])]
 
 
-def write_gold(spark: SparkSession, out: str) -> None:
+def found_extras(spark: SparkSession, landing: str, multi_line: bool = False) -> Extras:
+    """The fields that the landed files have beyond the known ones, from one pass over all of them.
+
+    Keep the result between stream runs, or fields that have come and gone would change the tables.
+    """
+    return {e: unknown_fields(spark, f"{landing}/{e}", RAW[e], multi_line) for e in ENTITIES}
+
+
+def _silver_schema(spark: SparkSession, entity: str, extras: Extras) -> StructType:
+    nothing = spark.createDataFrame([], bronze_schema(entity, *extras.get(entity, [])))
+    return silver.table(entity, nothing, _extra_names(entity, extras)).schema
+
+
+def write_gold(spark: SparkSession, out: str, extras: Extras | None = None) -> None:
     """Recompute the gold tables from the stored silver tables."""
-    tables = {entity: read_table(spark, f"{out}/silver/{entity}") for entity in ENTITIES}
+    tables = {
+        e: read_table(spark, f"{out}/silver/{e}", _silver_schema(spark, e, extras or {})) for e in ENTITIES
+    }
     write_clustered(customer_360(**tables), f"{out}/gold/customer_360", *CLUSTER_COLUMNS)
     overwrite(fraud_alerts(**tables), f"{out}/gold/fraud_alerts")
 
@@ -78,11 +95,11 @@ def compact_customers(spark: SparkSession, out: str) -> int:
 
 
 def refresh_batch(
-    spark: SparkSession, landing: str, out: str, extras: Extras | None = None
+    spark: SparkSession, landing: str, out: str, extras: Extras | None = None, multi_line: bool = False
 ) -> RuleCounts:
     """Rebuild every table from all landed files; returns rows and violations per rule.
 
-    Give it an output folder of its own: a folder that streams write to carries their log.
+    ``multi_line`` is for files that hold one array or one object over several lines. Give it an output folder of its own: a folder that streams write to carries their log.
     """
     extras = extras or {}
     watched = {
@@ -90,13 +107,13 @@ def refresh_batch(
         for layer in ("bronze", "silver")
     }
     for entity in ENTITIES:
-        landed = read_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras))
+        landed = read_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras), multi_line)
         overwrite(bronze.raw(entity, landed, watched["bronze"][entity]), f"{out}/bronze/{entity}")
-        stored = read_table(spark, f"{out}/bronze/{entity}")
+        stored = read_table(spark, f"{out}/bronze/{entity}", bronze_schema(entity, *extras.get(entity, [])))
         names = _extra_names(entity, extras)
         refined = silver.table(entity, stored, names, metrics=watched["silver"][entity])
         overwrite(refined, f"{out}/silver/{entity}")
-    write_gold(spark, out)
+    write_gold(spark, out, extras)
     return {
         layer: {entity: watch.get for entity, watch in tables.items()} for layer, tables in watched.items()
     }
@@ -108,14 +125,15 @@ def refresh_available(
     out: str,
     checkpoints: str,
     extras: Extras | None = None,
-    salts: int = 0,
+    salts: int = SALTS,
+    multi_line: bool = False,
     **options: str | int,
 ) -> RuleCounts:
     """Take in the files that landed since the last run and bring every table up to date.
 
-    Returns rows and violations per rule, by layer and entity. ``salts`` is for feeds in which some
-    keys have very many copies; it shapes the state, so keep it the same from run to run. ``options``
-    are those of the file source, such as ``maxBytesPerTrigger`` (a number of bytes).
+    Returns rows and violations per rule, by layer and entity. ``salts`` spreads the copies of
+    a key, see ``first_per_key``; it shapes the state, so keep it the same from run to run (0: none).
+    ``multi_line`` is for files that hold one array or one object over several lines. ``options`` are those of the file source, such as ``maxBytesPerTrigger`` (a number of bytes).
     """
     extras = extras or {}
     counts: RuleCounts = {}
@@ -129,7 +147,7 @@ def refresh_available(
         counts[layer] = {entity: rule_totals(progress[entity], f"{layer}_{entity}") for entity in tables}
 
     def landed(entity: str) -> DataFrame:
-        files = stream_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras), **options)
+        files = stream_landing(spark, f"{landing}/{entity}", _raw_schema(entity, extras), multi_line, **options)
         return bronze.raw(entity, files, metrics=f"bronze_{entity}")
 
     def stored(entity: str) -> DataFrame:
@@ -144,5 +162,5 @@ def refresh_available(
     target, checkpoint = f"{out}/{CUSTOMERS_CDC}", f"{checkpoints}/{CUSTOMERS_CDC}"
     changes = write_changes(stored("customers"), CUSTOMER_CHANGES, target, checkpoint)
     run_layer("silver", {entity: refined(entity) for entity in ENTITIES}, customers_cdc=changes)
-    write_gold(spark, out)
+    write_gold(spark, out, extras)
     return counts

@@ -3,6 +3,20 @@
 from __future__ import annotations
 
 from vaultline.operators.rules import Rule
+from vaultline.schemas import MALFORMED
+
+
+def _landed(*times: str) -> tuple[Rule, ...]:
+    parsable = (Rule(f"{c} parsable", f"{c} IS NULL OR try_to_timestamp({c}) IS NOT NULL") for c in times)
+    return (Rule("well formed", f"{MALFORMED} IS NULL"), *parsable)
+
+
+# What the files themselves are warned about, beside the rules of the bronze tables.
+LANDED = {
+    "customers": _landed("created_at"),
+    "accounts": _landed("opened_at"),
+    "transactions": _landed("transaction_date"),
+}
 
 BRONZE = {
     "customers": (

@@ -16,7 +16,7 @@ def _fields(kind, *names: str) -> list[StructField]:
     return [StructField(name, kind, True) for name in names]
 
 
-# Landing JSON. Timestamps stay text until the silver layer parses them.
+# Landing JSON. Timestamps stay text until the silver layer parses them.
 RAW_CUSTOMERS = StructType(
     _fields(StringType(), "customer_id", "full_name", "email", "phone", "kyc_status")
     + _fields(BooleanType(), "is_deleted")
@@ -42,9 +42,16 @@ RAW = {
 
 INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
+SOURCE_TIME = "_source_time"
+MALFORMED = "_malformed"
 UPDATED_AT = "_updated_at"
 
-LINEAGE = [StructField(INGESTED_AT, TimestampType(), True), StructField(SOURCE_FILE, StringType(), True)]
+LINEAGE = [
+    StructField(MALFORMED, StringType(), True),
+    StructField(INGESTED_AT, TimestampType(), True),
+    StructField(SOURCE_FILE, StringType(), True),
+    StructField(SOURCE_TIME, TimestampType(), True),
+]
 
 
 def with_extra(schema: StructType, *extra: StructField) -> StructType:
@@ -52,7 +59,7 @@ def with_extra(schema: StructType, *extra: StructField) -> StructType:
 
 
 def bronze(entity: str, *extra: StructField) -> StructType:
-    """Stored layout of a bronze table: the raw fields and the two lineage columns."""
+    """Stored layout of a bronze table: the raw fields, the text of malformed records, and the lineage."""
     return with_extra(RAW[entity], *extra, *LINEAGE)
 
 

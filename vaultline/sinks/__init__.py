@@ -1,11 +1,13 @@
-from vaultline.sinks.files import append_stream, overwrite, write_clustered, write_json
+from vaultline.sinks.files import append_stream, exists, overwrite, remove, write_clustered, write_json
 from vaultline.sinks.tables import create_tagged, register_tagged, table_tags
 
 __all__ = [
     "append_stream",
     "create_tagged",
+    "exists",
     "overwrite",
     "register_tagged",
+    "remove",
     "table_tags",
     "write_clustered",
     "write_json",

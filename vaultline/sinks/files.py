@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 
@@ -17,7 +17,42 @@ def append_stream(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replace the table at ``path``. It is written beside it first, so a plan that fails leaves the old one."""
+    new, old = f"{path}.new", f"{path}.old"
+    df.write.mode("overwrite").parquet(new)
+    spark = df.sparkSession
+    if exists(spark, path):
+        remove(spark, old)
+        _move(spark, path, old)
+    _move(spark, new, path)
+    remove(spark, old)
+    spark.catalog.refreshByPath(path)
+
+
+def _at(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _at(spark, path)
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    files, place = _at(spark, path)
+    return [str(found.getPath()) for found in files.listStatus(place)] if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _at(spark, path)
+    files.delete(place, True)
+
+
+def _move(spark: SparkSession, path: str, to: str) -> None:
+    files, place = _at(spark, path)
+    if not files.rename(place, _at(spark, to)[1]):
+        raise OSError(f"cannot move {path} to {to}")
 
 
 def write_clustered(df: DataFrame, path: str, *columns: str, partitions: int | None = None) -> None:

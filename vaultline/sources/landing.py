@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from vaultline.schemas import INGESTED_AT, SOURCE_FILE
+from vaultline.schemas import INGESTED_AT, MALFORMED, SOURCE_FILE, SOURCE_TIME
 
 CATALOG_KEY = "catalog_name"
 DEFAULT_CATALOG = "bank_dev"
@@ -19,16 +19,27 @@ def landing_path(spark: SparkSession, entity: str, root: str = "/data") -> str:
 
 
 def with_lineage(files: DataFrame) -> DataFrame:
-    """Ingest time and file of origin; must sit directly on the file scan."""
+    """Ingest time, file of origin and when that was written; must sit directly on the file scan."""
     return files.withColumns(
-        {INGESTED_AT: F.current_timestamp(), SOURCE_FILE: F.col("_metadata.file_path")}
+        {
+            INGESTED_AT: F.current_timestamp(),
+            SOURCE_FILE: F.col("_metadata.file_path"),
+            SOURCE_TIME: F.col("_metadata.file_modification_time"),
+        }
     )
 
 
+def keeping_malformed(schema: StructType) -> StructType:
+    """``schema`` with a column for the text of records that are broken or hold values of another type."""
+    return StructType([*schema.fields, StructField(MALFORMED, StringType(), True)])
+
+
 def read_landing(
     spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
 ) -> DataFrame:
-    return with_lineage(spark.read.schema(schema).option("multiLine", multi_line).json(path))
+    """Records that do not fit ``schema`` keep their text in a column of its own."""
+    reader = spark.read.schema(keeping_malformed(schema)).option("multiLine", multi_line)
+    return with_lineage(reader.option("columnNameOfCorruptRecord", MALFORMED).json(path))
 
 
 def stream_landing(
@@ -39,13 +50,20 @@ def stream_landing(
     Of the file source's ``options``, ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` keep the
     batches of a large backlog to a size the cluster can take at once.
     """
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line).options(**options)
+    reader = spark.readStream.schema(keeping_malformed(schema)).option("multiLine", multi_line)
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED).options(**options)
     return with_lineage(reader.json(path))
 
 
-def infer_schema(
-    spark: SparkSession, path: str, multi_line: bool = False, sampling_ratio: float = 1.0
-) -> StructType:
-    """Types found in the files, fields in name order. Run once, then keep the result fixed."""
+def infer_schema(spark: SparkSession, path: str, multi_line: bool = False) -> StructType:
+    """Types found in all the files, fields in name order. Run once, then keep the result fixed."""
     reader = spark.read.option("multiLine", multi_line).option("inferTimestamp", False)
-    return reader.option("samplingRatio", sampling_ratio).json(path).schema
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    return StructType([f for f in reader.json(path).schema.fields if f.name != MALFORMED])
+
+
+def unknown_fields(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> list[StructField]:
+    """Fields of the landed records that ``schema`` does not name, by one pass over the files."""
+    return [f for f in infer_schema(spark, path, multi_line).fields if f.name not in schema.names]

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """With a ``schema``, also a table that has no files yet can be read."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def stream_table(spark: SparkSession, path: str, schema: StructType, **options: str | int) -> DataFrame:

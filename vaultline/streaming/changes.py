@@ -3,49 +3,60 @@
 Each micro-batch leaves the newest row of the keys it touched, deletes included, in a folder of its
 own; a replayed batch overwrites the same folder with the same rows. Writing therefore costs as much
 as the change, not as the table. The current table is the newest row per key over these folders,
-and ``compact`` folds them into one base now and then so that reading does not grow with history.
+and ``compact`` folds them into one base now and then and removes what it folded, so that neither
+reading nor the number of folders grows with history. The table starts with an empty base, so it can be
+read before the first change.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from vaultline.operators.changes import ChangeFeed
+from vaultline.sinks.files import children, exists, remove
 
-# Before the first compaction every batch counts; batch ids start at 0.
+# The empty base before the first compaction, with which every batch counts; batch ids start at 0.
 NO_BASE = -1
 
 
+def _base(target: str, upto: int) -> str:
+    return f"{target}/base/upto={upto}"
+
+
 def write_changes(changes: DataFrame, feed: ChangeFeed, target: str, checkpoint: str) -> DataStreamWriter:
+    spark = changes.sparkSession
+    if not exists(spark, target):
+        empty = spark.createDataFrame([], changes.schema)
+        feed.newest(empty).write.mode("overwrite").parquet(_base(target, NO_BASE))
+
     def store(batch: DataFrame, batch_id: int) -> None:
         feed.newest(batch).write.mode("overwrite").parquet(f"{target}/changes/batch={batch_id}")
 
     return changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.parquet(path) if children(spark, path) else None
+
+
 def _covered(spark: SparkSession, target: str) -> int:
     """Last batch folded into a finished base."""
-    try:
-        finished = spark.read.parquet(f"{target}/finished")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return NO_BASE
-        raise
-    return finished.agg(F.max("upto")).first()[0]
+    finished = _read_if_there(spark, f"{target}/finished")
+    return NO_BASE if finished is None else finished.agg(F.max("upto")).first()[0]
 
 
 def _newest(spark: SparkSession, feed: ChangeFeed, target: str) -> tuple[DataFrame, int, int]:
     """Newest row per key, the last batch of the base used, and the last batch overall."""
     covered = _covered(spark, target)
-    changes = spark.read.parquet(f"{target}/changes").filter(F.col("batch") > covered)
-    last = changes.agg(F.max("batch")).first()[0]
-    rows = changes.drop("batch")
-    if covered != NO_BASE:
-        rows = spark.read.parquet(f"{target}/base/upto={covered}").unionByName(rows)
-    return feed.newest(rows), covered, covered if last is None else last
+    rows, last = spark.read.parquet(_base(target, covered)), covered
+    changes = _read_if_there(spark, f"{target}/changes")
+    if changes is not None:
+        later = changes.filter(F.col("batch") > covered)
+        last = later.agg(F.coalesce(F.max("batch"), F.lit(covered))).first()[0]
+        rows = rows.unionByName(later.drop("batch"), allowMissingColumns=True)
+    return feed.newest(rows), covered, last
 
 
 def read_current(spark: SparkSession, feed: ChangeFeed, target: str) -> DataFrame:
@@ -53,14 +64,19 @@ def read_current(spark: SparkSession, feed: ChangeFeed, target: str) -> DataFram
 
 
 def compact(spark: SparkSession, feed: ChangeFeed, target: str) -> int:
-    """Fold all batches so far into a new base; returns the last batch folded in.
+    """Fold all batches so far into a new base and remove what was folded; returns the last batch folded in.
 
     Deletes stay, so that late older rows still lose against them. The base counts only once its
-    marker is there, so a run that breaks off leaves the old state valid. Run it between stream runs.
+    marker is there, so a run that breaks off leaves the old state valid, and the next one removes what it
+    left. Run it between stream runs, when nobody reads the table.
     """
     newest, covered, last = _newest(spark, feed, target)
     if last > covered:
-        newest.write.mode("overwrite").parquet(f"{target}/base/upto={last}")
+        newest.write.mode("overwrite").parquet(_base(target, last))
         marker = spark.range(1).select(F.lit(last).cast("long").alias("upto"))
         marker.write.mode("append").parquet(f"{target}/finished")
+    for path in children(spark, f"{target}/changes") + children(spark, f"{target}/base"):
+        name, _, number = path.rpartition("/")[2].partition("=")
+        if name == "batch" and int(number) <= last or name == "upto" and int(number) != last:
+            remove(spark, path)
     return last

@@ -6,7 +6,10 @@ transactions off ``events``; violations of every rule are planted on the way.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
 from vaultline.operators.changes import ChangeFeed
@@ -85,6 +88,11 @@ FEED = (
     "if(event_id % 97 = 0, struct(event_id, value * 60 AS amount, 2 AS arrival), NULL))))"
 )
 
+# Altered copies of the bank's rows: some early ones fail a rule, the late ones would pass.
+COPY_ALTERS = {"customers": "kyc_status", "accounts": "balance", "transactions": "amount"}
+COPY_EARLY = {"customers": "'unknown'", "accounts": "-abs(balance)", "transactions": "-abs(amount)"}
+COPY_LATE = {"customers": "'verified'", "accounts": "abs(balance) + 1", "transactions": "abs(amount) + 1"}
+
 
 class Bank:
     """The bank tables of one test-data folder, layer by layer."""
@@ -105,7 +113,19 @@ class Bank:
         return RAW[entity].names + EXTRA[entity]
 
     def raw(self, entity: str) -> DataFrame:
-        return self.landed(entity).select(*self.raw_columns(entity))
+        """Without lineage, which costs the scan a column."""
+        table, columns = _SOURCES[entity]
+        return self.given(table).selectExpr(*(f"{columns[name]} AS {name}" for name in self.raw_columns(entity)))
+
+    def copied(self, entity: str) -> DataFrame:
+        """The raw rows and altered copies of some, with ``arrival`` in which they should land."""
+        key, altered = silver.KEYS[entity], COPY_ALTERS[entity]
+        raw = self.raw(entity).withColumn("number", F.expr(f"try_cast({key} AS long)"))
+        parts = [
+            raw.where(f"number % {every} = 0").withColumn(altered, F.expr(value)).withColumn("arrival", F.lit(arrival))
+            for arrival, every, value in ((0, 13, COPY_EARLY[entity]), (2, 7, COPY_LATE[entity]))
+        ]
+        return reduce(DataFrame.unionByName, parts, raw.withColumn("arrival", F.lit(1))).drop("number")
 
     def bronze(self, entity: str) -> DataFrame:
         return bronze.raw(entity, self.landed(entity))

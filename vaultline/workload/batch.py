@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from vaultline.functions import derive, masks
 from vaultline.operators import changes, dedup, privacy, quality, rollups, rules, velocity
-from vaultline.plans import checkbook, customer_360, fraud_alerts, refresh, rulebook
-from vaultline.schemas import INGESTED_AT, SOURCE_FILE, UPDATED_AT, with_extra, RAW
+from vaultline.plans import bronze, checkbook, customer_360, fraud_alerts, refresh, rulebook, silver
+from vaultline.schemas import INGESTED_AT, MALFORMED, RAW, SOURCE_FILE, UPDATED_AT, with_extra
 from vaultline.sinks import create_tagged, overwrite, table_tags, write_clustered, write_json
 from vaultline.sources import generator, landing
 from vaultline.sources.tables import read_table
 from vaultline.workload import sql
-from vaultline.workload.adapter import EXTRA_FIELDS, USER_CHANGES, Bank
+from vaultline.workload.adapter import COPY_ALTERS, COPY_EARLY, COPY_LATE, EXTRA, EXTRA_FIELDS, USER_CHANGES, Bank
 from vaultline.workload.registry import query
 
 ENTITIES = ("customers", "accounts", "transactions")
@@ -57,7 +57,7 @@ def land_json(bank: Bank, root: str) -> None:
 def json_roundtrip(bank: Bank) -> DataFrame:
     path = bank.scratch("json")
     write_json(bank.raw("transactions"), path)
-    return landing.read_landing(bank.spark, path, RAW["transactions"]).drop(INGESTED_AT, SOURCE_FILE)
+    return landing.read_landing(bank.spark, path, RAW["transactions"]).select(*RAW["transactions"].names)
 
 
 @query(
@@ -91,32 +91,21 @@ def source_file_counts(bank: Bank) -> DataFrame:
     return union([counted(entity) for entity in ENTITIES])
 
 
-INFERRED = {
-    "customers": {
-        "created_at": "string", "customer_id": "string", "email": "string", "full_name": "string",
-        "is_deleted": "boolean", "kyc_status": "string", "nationality": "string", "phone": "string",
-    },
-    "accounts": {
-        "account_id": "string", "account_type": "string", "balance": "double", "currency": "string",
-        "customer_id": "string", "iban": "string", "opened_at": "string", "status": "string",
-    },
-    "transactions": {
-        "account_id": "string", "amount": "double", "channel": "string", "counterpart_iban": "string",
-        "created_at": "string", "currency": "string", "fraud_reason": "string",
-        "is_flagged_fraud": "boolean", "status": "string", "transaction_date": "string",
-        "transaction_id": "string", "transaction_type": "string",
-    },
-}
+_TYPE_NAMES = "CASE max(typeof({0})) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DOUBLE' THEN 'double' END"
 
 
 @query(
     "infer_schema",
-    sql.union(
-        [
-            f"SELECT '{entity}' AS entity, '{column}' AS column_name, '{kind}' AS data_type"
-            for entity, columns in INFERRED.items()
-            for column, kind in columns.items()
-        ]
+    sql.given(
+        sql.RAW,
+        sql.union(
+            [
+                f"SELECT '{entity}' AS entity, '{column}' AS column_name, {_TYPE_NAMES.format(column)} AS data_type "
+                f"FROM raw_{entity} HAVING count({column}) > 0"
+                for entity in ENTITIES
+                for column in RAW[entity].names + EXTRA[entity]
+            ]
+        ),
     ),
 )
 def infer_schema(bank: Bank) -> DataFrame:
@@ -143,6 +132,65 @@ query("silver_transactions", sql.given(sql.TRANSACTIONS, "SELECT * FROM transact
 )
 
 
+def _silver_with_copies(bank: Bank, entity: str) -> DataFrame:
+    """Three arrivals of JSON files, whose names sort the other way; the first copy of a key counts."""
+    root, feed = bank.scratch("copies"), bank.copied(entity)
+    for arrival in range(3):
+        part = feed.where(F.col("arrival") == arrival).drop("arrival")
+        write_json(part, f"{root}/landing/part_{9 - arrival}")
+    schema = with_extra(RAW[entity], *EXTRA_FIELDS[entity])
+    landed = bronze.raw(entity, landing.read_landing(bank.spark, f"{root}/landing/*", schema))
+    return silver.table(entity, landed, EXTRA[entity]).drop(INGESTED_AT)
+
+
+_COPIED = {
+    "customers": (sql.CUSTOMERS, "raw_customers"),
+    "accounts": (sql.ACCOUNTS, "raw_accounts"),
+    "transactions": (sql.TRANSACTIONS, "bronze_transactions"),
+}
+for _entity, (_parts, _input) in _COPIED.items():
+    _firsts = sql.first_copies(
+        _entity, silver.KEYS[_entity], COPY_ALTERS[_entity], COPY_EARLY[_entity], COPY_LATE[_entity]
+    )
+    _cleaned = [part.replace(f"FROM {_input}", f"FROM first_{_entity}") for part in _parts[-2:]]
+    if _entity == "transactions":
+        _firsts[0] = _firsts[0].replace("FROM raw_transactions", "FROM bronze_transactions")
+    query(
+        f"silver_{_entity}_with_copies",
+        sql.given(_parts[:-2] + _firsts + _cleaned, f"SELECT * FROM {_entity}"),
+    )(lambda bank, entity=_entity: _silver_with_copies(bank, entity))
+
+
+# Every seventh row is broken off, every eleventh has a text for a number, and every row has a new field.
+_TORN = "event_id % 7 = 0"
+_MISTYPED = "event_id % 7 <> 0 AND event_id % 11 = 0"
+
+
+@query(
+    "bronze_malformed",
+    f"""SELECT CASE WHEN {_TORN} THEN NULL ELSE CAST(event_id AS VARCHAR) END AS transaction_id,
+       CASE WHEN {_TORN} OR {_MISTYPED} THEN NULL ELSE CAST(event_id AS DOUBLE) END AS amount,
+       CASE WHEN {_TORN} THEN NULL ELSE 'till ' || CAST(user_id AS VARCHAR) END AS till,
+       CASE WHEN {_TORN} THEN '{{"transaction_id": "' || CAST(event_id AS VARCHAR)
+            WHEN {_MISTYPED} THEN '{{"transaction_id": "' || CAST(event_id AS VARCHAR) || '", "amount": "12,50", "till": "till '
+                 || CAST(user_id AS VARCHAR) || '"}}' END AS _malformed
+FROM events""",
+)
+def bronze_malformed(bank: Bank) -> DataFrame:
+    """Torn records and values of another type keep their text; fields that are not in the schema are found."""
+    root = bank.scratch("malformed")
+    head = "'{\"transaction_id\": \"' || event_id"
+    tail = "', \"till\": \"till ' || user_id || '\"}'"
+    bank.given("events").selectExpr(
+        f"CASE WHEN {_TORN} THEN {head} WHEN {_MISTYPED} THEN {head} || '\", \"amount\": \"12,50\"' || {tail} "
+        f"ELSE {head} || '\", \"amount\": ' || event_id || '.0' || {tail} END AS value"
+    ).write.text(f"{root}/transactions")
+    known = RAW["transactions"]
+    schema = with_extra(known, *landing.unknown_fields(bank.spark, f"{root}/transactions", known))
+    landed = landing.read_landing(bank.spark, f"{root}/transactions", schema)
+    return landed.select("transaction_id", "amount", "till", MALFORMED)
+
+
 @query(
     "parse_timestamps",
     sql.given(
@@ -254,8 +302,8 @@ def accounts_with_tx_metrics(bank: Bank) -> DataFrame:
     ),
 )
 def account_metrics(bank: Bank) -> DataFrame:
-    return rollups.account_metrics(
-        bank.silver("accounts"), rollups.tx_metrics(bank.silver("transactions"))
+    return rounded_mean(
+        rollups.account_metrics(bank.silver("accounts"), rollups.tx_metrics(bank.silver("transactions")))
     )
 
 
@@ -271,8 +319,13 @@ def risk_score(bank: Bank) -> DataFrame:
     return scored.select("customer_id", "total_fraud_count", "risk_score")
 
 
+def rounded_mean(df: DataFrame) -> DataFrame:
+    """Means of doubles depend on the order of the rows in their last digits."""
+    return df.withColumn("avg_transaction_amount", F.round("avg_transaction_amount", 6))
+
+
 def _customer_360(bank: Bank) -> DataFrame:
-    return customer_360.customer_360(**bank.all_silver()).drop(UPDATED_AT)
+    return rounded_mean(customer_360.customer_360(**bank.all_silver()).drop(UPDATED_AT))
 
 
 C360_SQL = sql.given(sql.C360, "SELECT * FROM customer_360")
@@ -375,7 +428,7 @@ def refresh_batch(bank: Bank) -> DataFrame:
     root = bank.scratch("refresh")
     land_json(bank, f"{root}/landing")
     refresh.refresh_batch(bank.spark, f"{root}/landing", f"{root}/out", EXTRA_FIELDS)
-    return read_table(bank.spark, f"{root}/out/gold/customer_360").drop(UPDATED_AT)
+    return rounded_mean(read_table(bank.spark, f"{root}/out/gold/customer_360").drop(UPDATED_AT))
 
 
 # --- privacy ----------------------------------------------------------------------------------

@@ -154,6 +154,20 @@ def masked_iban(column: str) -> str:
     return f"left({column}, 4) || '***' || right({column}, 3)"
 
 
+def first_copies(entity: str, key: str, altered: str, early: str, late: str) -> list[str]:
+    """The raw rows with the planted copies, cut down to the first arrival of each key."""
+    number = f"TRY_CAST({key} AS BIGINT)"
+    return [
+        f"""copied AS (
+  SELECT *, 1 AS arrival FROM raw_{entity}
+  UNION ALL SELECT * REPLACE ({early} AS {altered}), 0 FROM raw_{entity} WHERE {number} % 13 = 0
+  UNION ALL SELECT * REPLACE ({late} AS {altered}), 2 FROM raw_{entity} WHERE {number} % 7 = 0)""",
+        f"""first_{entity} AS (
+  SELECT * EXCLUDE (arrival) FROM copied
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY arrival) = 1)""",
+    ]
+
+
 RAW = [RAW_CUSTOMERS, RAW_ACCOUNTS, RAW_TRANSACTIONS]
 CUSTOMERS = [RAW_CUSTOMERS, CLEAN_CUSTOMERS, SILVER_CUSTOMERS]
 ACCOUNTS = [RAW_ACCOUNTS, CLEAN_ACCOUNTS, SILVER_ACCOUNTS]
