@@ -1,0 +1,90 @@
+"""The word model behind the perplexities against brute force, and what it must tell apart."""
+
+import collections
+import math
+
+import numpy as np
+import pytest
+
+from vaultline.llm.kneser_ney import judge_perplexity
+
+COLUMNS = "doc_id long, text string, lang string"
+
+
+def runs_of(text):
+    line = ["<s>", "<s>", *text.split(), "</s>"]
+    return list(zip(line, line[1:], line[2:]))
+
+
+def counted(texts):
+    """Counts of runs of three; of two, by different words before them; of one, likewise."""
+    three = collections.Counter(g for t in texts for g in runs_of(t))
+    two = collections.Counter(g[1:] for g in three)
+    return [collections.Counter(g[1:] for g in two), two, three]
+
+
+def discounts_of(tables):
+    of = [max(1, sum(n == k for t in tables for n in t.values())) for k in (1, 2, 3, 4)]
+    ratio = of[0] / (of[0] + 2 * of[1])
+    found = [k - (k + 1) * ratio * of[k] / of[k - 1] for k in (1, 2, 3)]
+    return [d if 0 < d < k else k / 2 for k, d in zip((1, 2, 3), found)]
+
+
+def brute_log_perplexity(text, others, discounts, vocabulary):
+    tables = counted(others)
+
+    def probability(run):
+        if not run:
+            return 1 / vocabulary
+        below = probability(run[1:])
+        table = tables[len(run) - 1]
+        same = [n for g, n in table.items() if g[:-1] == run[:-1]]
+        if not same:
+            return below
+        cut = [discounts[len(run) - 1][min(n, 3) - 1] for n in same]
+        own = table[run] - discounts[len(run) - 1][min(table[run], 3) - 1] if table[run] else 0
+        return (own + sum(cut) * below) / sum(same)
+
+    runs = runs_of(text)
+    return -sum(math.log(probability(g)) for g in runs) / len(runs)
+
+
+def test_perplexity_by_brute_force(spark):
+    random = np.random.default_rng(8)
+    texts = [(" ".join(random.choice(list("abcdéж"), random.integers(1, 30))), lang) for lang in ("en", "de", "en", "en", "de")]
+    texts += [texts[0], ("only one of its language", None)]
+    frame = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], COLUMNS)
+    by_lang = collections.defaultdict(list)
+    for text, lang in texts:
+        by_lang[lang].append(text)
+    tables = list(zip(*(counted(ts) for ts in by_lang.values())))
+    discounts = [discounts_of(level) for level in tables]
+    found = {r.doc_id: r.perplexity for r in judge_perplexity(frame).collect()}
+    for i, (text, lang) in enumerate(texts):
+        others = list(by_lang[lang])
+        others.remove(text)
+        vocabulary = len(counted(by_lang[lang])[0])
+        assert math.log(found[i]) == pytest.approx(brute_log_perplexity(text, others, discounts, vocabulary))
+
+
+def test_shuffled_words_and_other_languages_are_out_of_band(spark):
+    random = np.random.default_rng(9)
+
+    def speech(prefix):
+        words = [f"{prefix}{i}" for i in range(200)]
+        after = {w: list(random.choice(words, 3)) for w in words}
+
+        def text():
+            line = [str(random.choice(words))]
+            while len(line) < 120:
+                line.append(str(random.choice(after[line[-1]])))
+            return line
+
+        return text
+
+    english, german = speech("e"), speech("ü")
+    rows = [(i, " ".join(english()), "en") for i in range(200)] + [(200 + i, " ".join(german()), "de") for i in range(200)]
+    rows += [(400 + i, " ".join(random.permutation(english())), "en") for i in range(5)]
+    rows += [(410 + i, " ".join(german()), "en") for i in range(5)]
+    kept = {r.doc_id for r in judge_perplexity(spark.createDataFrame(rows, COLUMNS)).where("kept").collect()}
+    assert len([i for i in kept if i < 400]) >= 392 and not [i for i in kept if i >= 400]

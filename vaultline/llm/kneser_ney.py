@@ -1,25 +1,22 @@
-"""Perplexity of texts under a modified Kneser-Ney model of symbol runs that Spark counts over the whole corpus."""
+"""Perplexity of texts under a modified Kneser-Ney model of word runs that Spark counts over the whole corpus."""
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.spans import chunks
 from vaultline.llm.tables import written
+from vaultline.llm.word_model import blocks_of_words, scored_by_others
 
-# Symbols: 64 classes of characters, so four of them make at most 2 ** 24 runs, which bounds the model.
+# Symbols: 64 classes of characters, for the small model of symbol runs below, which judges no text.
 ORDER, SYMBOL_BITS = 4, 6
-RUNS = 1 << (ORDER * SYMBOL_BITS)
 PAD, END = 0, 1
 LOWER_A, UPPER_A, DIGIT, SPACE, LINE, STOP, MARK, SIGN, OTHER = 2, 28, 54, 55, 56, 57, 58, 59, 60
 SIGNS = "#*$%&|<>"
-COUNTED = 2_000_000  # characters counted at once
 MIN_WORDS = 50
 REPEATED_PERCENT = 50
 FENCE = 4.0  # interquartile ranges beyond the quartiles of a language
@@ -61,24 +58,6 @@ def symbol_runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return runs[keep], bounds
 
 
-def count_runs(docs: DataFrame) -> DataFrame:
-    """``run, n`` over all texts: each task counts in an array of RUNS numbers and passes on what it saw."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(RUNS, dtype=np.int64)
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for part in chunks(texts, COUNTED):
-                counts += np.bincount(symbol_runs(texts[part])[0], minlength=RUNS)
-        seen = np.flatnonzero(counts)
-        for start in range(0, len(seen), 100_000):
-            some = seen[start : start + 100_000]
-            yield pd.DataFrame({"run": some.astype(np.int32), "n": counts[some]})
-
-    partial = docs.select("text").mapInPandas(run, "run int, n long")
-    return partial.groupBy("run").agg(F.sum("n").alias("n"))
-
-
 class Model:
     """For each order, sorted arrays: hashes of the runs with log probabilities, of contexts with log weights
     of the shorter model. A run's hash is its symbols side by side, so different runs never clash."""
@@ -172,20 +151,9 @@ def base_measures(text: str | None) -> tuple[int, int, int, int, int]:
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _scored(model):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for part in chunks(texts):
-                rows = pd.DataFrame([base_measures(t) for t in texts[part]], columns=list(MEASURES))
-                runs, bounds = symbol_runs(texts[part])
-                sums = np.concatenate([[0], np.cumsum(model.value.log_probabilities(runs))])
-                rows["log_perplexity"] = -(sums[bounds[1:]] - sums[bounds[:-1]]) / np.diff(bounds)
-                rows.insert(0, "lang", frame["lang"].iloc[part].to_numpy())
-                rows.insert(0, "doc_id", frame["doc_id"].iloc[part].to_numpy())
-                yield rows
-
-    return run
+def _measured(frame: pd.DataFrame) -> pd.DataFrame:
+    rows = pd.DataFrame([base_measures(t) for t in frame["text"]], columns=list(MEASURES), index=frame.index)
+    return pd.concat([frame[["doc_id", "lang", "tongue"]], rows], axis=1)
 
 
 def judge_perplexity(docs: DataFrame, fence: float = FENCE) -> DataFrame:
@@ -193,17 +161,18 @@ def judge_perplexity(docs: DataFrame, fence: float = FENCE) -> DataFrame:
     for each row of ``docs`` (doc_id, text, lang; others are not read).
 
     base_failed: fewer than 50 words, or over half of them in three-word runs that the text repeats.
-    perplexity: per symbol, of the whole text under one model of order ORDER, counted over all texts.
+    perplexity: per word, with the end of the text as one more, of the whole text under the model of its
+    language: runs of up to three words, counted over all its other texts, so no text vouches for itself.
     kept: not base_failed, and the log perplexity lies between the bands of its language: the quartiles
     of all its documents that pass the base rules, widened by ``fence`` times their distance. A null
     language is one of its own. Null and empty texts have no words and fail the base rules. Repeated rows
     count and are judged each. An empty table gives no rows.
     """
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text", "lang")
-    counts = count_runs(rows).toPandas()  # at most RUNS rows
-    model = docs.sparkSession.sparkContext.broadcast(Model(counts["run"].to_numpy(), counts["n"].to_numpy()))
-    schema = "doc_id long, lang string, " + ", ".join(f"{m} long" for m in MEASURES) + ", log_perplexity double"
-    scored = rows.withColumn("lang", F.coalesce("lang", F.lit(""))).mapInPandas(_scored(model), schema)
+    rows = rows.withColumn("lang", F.coalesce("lang", F.lit(""))).withColumn("tongue", F.xxhash64("lang"))
+    measures = "doc_id long, lang string, tongue long, " + ", ".join(f"{m} long" for m in MEASURES)
+    blocks = rows.mapInPandas(blocks_of_words(_measured), measures + ", block long, words array<long>")
+    scored = scored_by_others(written(blocks, "word-blocks"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     scored = written(scored.withColumn("base_failed", failed), "perplexities")
     quartiles = (

@@ -1,0 +1,168 @@
+"""A modified Kneser-Ney model of word runs, counted over the whole corpus, that scores each text by all others."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vaultline.llm.spans import Words, chunks, mix
+from vaultline.llm.tables import written
+
+PAD, END = 1, 2  # beside hashes of words
+BLOCK_WORDS = 200_000  # words scored at once; a longer text makes a block of its own
+ODD = np.uint64(0x9E3779B97F4A7C15)
+GRAM = ["tongue", "w1", "w2", "w3"]
+KINDS = {1: "= 1", 2: "= 2", 3: ">= 3"}  # counts that share a discount
+
+
+def blocks_of_words(measured):
+    """Rows of ``measured`` (a frame of rows from a frame of texts) with ``block`` and ``words``, hashes in order."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base, block, held = TaskContext.get().partitionId() << 32, 0, 0
+        for frame in frames:
+            texts = frame["text"].tolist()
+            for part in chunks(texts):
+                found = Words(texts[part])
+                hashes = found.hashes().view(np.int64)
+                lists = [hashes[a:b] for a, b in zip(found.first, found.first[1:])]
+                blocks = []
+                for words in lists:
+                    if held and held + len(words) > BLOCK_WORDS:
+                        block, held = block + 1, 0
+                    held += len(words) + 1
+                    blocks.append(base + block)
+                yield measured(frame.iloc[part]).assign(block=blocks, words=lists)
+
+    return run
+
+
+def _grams(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Three columns of words, one row for each word and the end of each text, and the text of each row."""
+    sizes = np.array([len(words) + 1 for words in lists], dtype=np.int64)
+    line = np.concatenate([part for words in lists for part in ([PAD, PAD], np.asarray(words, dtype=np.int64), [END])])
+    line = line.astype(np.int64)
+    at = np.repeat(2 * np.arange(len(sizes)), sizes) + np.arange(sizes.sum())
+    return np.column_stack([line[at], line[at + 1], line[at + 2]]), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _keys(*columns: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(columns[0]), dtype=np.uint64)
+    for column in columns:
+        key = mix(key * ODD + np.ascontiguousarray(column).view(np.uint64))
+    return key
+
+
+def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``block``, the columns GRAM, ``n``: the runs of each block, counted."""
+    for frame in frames:
+        for block, some in frame.groupby("block"):
+            grams, text = _grams(some["words"].tolist())
+            tongue = some["tongue"].to_numpy()[text]
+            _, first, n = np.unique(_keys(tongue, *grams.T), return_index=True, return_counts=True)
+            columns = dict(zip(GRAM, (tongue[first], *grams[first].T)))
+            yield pd.DataFrame({"block": block, **columns, "n": n})
+
+
+def _types(table: DataFrame, keys: list[str], count: str, name: str) -> DataFrame:
+    """For each context: the sum of its runs' counts, and how many of them have each kind of count."""
+    kinds = (F.count(F.expr(f"case when {count} {test} then 1 end")).alias(f"{name}{k}") for k, test in KINDS.items())
+    return table.groupBy(*keys).agg(F.sum(count).alias(f"{name}_all"), *kinds)
+
+
+def discounts(table: DataFrame, count: str) -> np.ndarray:
+    """For counts of one, two, and three or more; a share of them where the usual estimate fails."""
+    row = table.agg(*(F.count(F.expr(f"case when {count} = {k} then 1 end")) for k in (1, 2, 3, 4))).first()
+    of = [max(1.0, float(n)) for n in row]
+    ratio = of[0] / (of[0] + 2 * of[1])
+    found = [k - (k + 1) * ratio * of[k] / of[k - 1] for k in (1, 2, 3)]
+    return np.array([0.0, *(d if 0 < d < k else 0.5 * k for k, d in zip((1, 2, 3), found))])
+
+
+def _level(group, full, rest, whole, kinds, discount, below) -> np.ndarray:
+    """Probabilities of runs by the counts ``rest`` that are left of ``full`` without the text's own.
+
+    group: the context within the text; whole, kinds: its sums over the corpus. A context that only the
+    text itself has leaves the word to the shorter run.
+    """
+    before, after = np.minimum(full, 3).astype(int), np.minimum(rest, 3).astype(int)
+    size = group.max() + 1 if len(group) else 0
+    total = whole - np.bincount(group, weights=full - rest, minlength=size)[group]
+    taken = np.zeros(len(group))
+    for k in KINDS:
+        moved = np.bincount(group, weights=(after == k) * 1.0 - (before == k), minlength=size)
+        taken += discount[k] * (kinds[k - 1] + moved[group])
+    known = total > 0
+    safe = np.where(known, total, 1)
+    return np.where(known, (rest - discount[after]) / safe + taken / safe * below, below)
+
+
+def _ids(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each different combination, and which of them each row has."""
+    _, first, which = np.unique(_keys(*columns), return_index=True, return_inverse=True)
+    return first, which
+
+
+def log_perplexities(docs: pd.DataFrame, facts: pd.DataFrame, given: list[np.ndarray]) -> np.ndarray:
+    """Of each text of a block, from what the corpus knows of the block's runs."""
+    grams, text = _grams(docs["words"].tolist())
+    tongue = docs["tongue"].to_numpy()[text]
+    known = _keys(*(facts[c].to_numpy() for c in GRAM))
+    order = np.argsort(known)
+    place = order[np.searchsorted(known, _keys(tongue, *grams.T), sorter=order)]
+    # Runs of a text: how often it has them itself, and what is left without it.
+    code, n = np.unique(text * np.int64(len(facts)) + place, return_counts=True)
+    text, place = code // len(facts), code % len(facts)
+    fact = {c: facts[c].to_numpy()[place] for c in facts.columns if c != "block"}
+    full3 = fact["c3"]
+    rest3 = full3 - n
+    first2, pair = _ids(text, fact["w2"], fact["w3"])
+    full2 = fact["c2"][first2]
+    rest2 = full2 - np.bincount(pair, weights=rest3 == 0, minlength=len(first2))
+    at2 = {c: v[first2] for c, v in fact.items()}
+    first1, word = _ids(text[first2], at2["w3"])
+    full1 = at2["c1"][first1]
+    rest1 = full1 - np.bincount(word, weights=rest2 == 0, minlength=len(first1))
+    text1 = text[first2][first1]
+    whole = {c: docs[c].to_numpy()[text1] for c in ("t1_all", "t11", "t12", "t13", "vocabulary")}
+    p1 = _level(text1, full1, rest1, whole["t1_all"], [whole[f"t1{k}"] for k in KINDS], given[0], 1 / whole["vocabulary"])
+    context = _ids(text[first2], at2["w2"])[1]
+    p2 = _level(context, full2, rest2, at2["t2_all"], [at2[f"t2{k}"] for k in KINDS], given[1], p1[word])
+    context = _ids(text, fact["w1"], fact["w2"])[1]
+    p3 = _level(context, full3, rest3, fact["t3_all"], [fact[f"t3{k}"] for k in KINDS], given[2], p2[pair])
+    sums = np.bincount(text, weights=-n * np.log(p3), minlength=len(docs))
+    return sums / np.bincount(text, weights=n, minlength=len(docs))
+
+
+def scored_by_others(docs: DataFrame) -> DataFrame:
+    """``docs`` (block and words from blocks_of_words, tongue, any others) with ``log_perplexity``, per word and end.
+
+    The model of each tongue has runs of three words, of two and of one, counted over all its texts. Runs are
+    counted in each block first; their counts and those of their contexts are joined by run, and go back to
+    the block, where each text is scored by the counts that are left without its own.
+    """
+    schema = "block long, tongue long, w1 long, w2 long, w3 long, n long"
+    runs = written(docs.select("block", "tongue", "words").mapInPandas(_counted, schema), "word-runs")
+    three = written(runs.groupBy(*GRAM).agg(F.sum("n").alias("c3")), "word-threes")
+    # A shorter run counts by how many different words come before it.
+    two = written(three.groupBy("tongue", "w2", "w3").agg(F.count(F.lit(1)).alias("c2")), "word-twos")
+    one = written(two.groupBy("tongue", "w3").agg(F.count(F.lit(1)).alias("c1")), "word-ones")
+    given = [discounts(one, "c1"), discounts(two, "c2"), discounts(three, "c3")]
+    totals = _types(one, ["tongue"], "c1", "t1").join(one.groupBy("tongue").agg(F.count(F.lit(1)).alias("vocabulary")), "tongue")
+    shorter = two.join(_types(two, ["tongue", "w2"], "c2", "t2"), ["tongue", "w2"]).join(one, ["tongue", "w3"])
+    facts = three.join(_types(three, ["tongue", "w1", "w2"], "c3", "t3"), ["tongue", "w1", "w2"])
+    facts = facts.join(shorter, ["tongue", "w2", "w3"])
+    asked = runs.drop("n").join(facts, GRAM)
+    ready = docs.join(written(totals, "word-totals"), "tongue")
+    own = [c for c in docs.columns if c not in ("words", "tongue", "block")]
+    result = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*own).schema) + ", log_perplexity double"
+
+    def score(some: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        return some[own].assign(log_perplexity=log_perplexities(some, known, given))
+
+    return ready.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(score, result)
