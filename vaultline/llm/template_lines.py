@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.llm.spans import chunks, mix, span_hashes, word_spans
@@ -20,7 +20,7 @@ DEPTH = 4  # leading tokens that, after the token count, lead down the tree
 MIN_TOKENS = 4  # shorter lines recur by chance
 MIN_EQUAL = 6  # tokens that a line must have in common with a template that it isn't equal to
 SIMILAR = 80  # per cent of them
-TEMPLATES = 2  # templates with free fields that one leaf may learn
+HEADS, MOST_HEADS = 16, 256  # lines of a leaf that one round settles: at first, and after doubling
 ADDED = ["n_lines", "n_dropped"]
 
 
@@ -59,11 +59,36 @@ def _indexed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+def _alike(one: Column, two: Column) -> Column:
+    """Whether masked lines of one leaf share a template."""
+    ours, theirs = F.split(one, " "), F.split(two, " ")
+    equal = F.size(F.filter(F.zip_with(ours, theirs, lambda x, y: x == y), lambda x: x))
+    return (equal >= MIN_EQUAL) & (100 * equal >= SIMILAR * F.size(ours))
+
+
+def _with_partners(lines: DataFrame) -> DataFrame:
+    """Without lines that surely no other of their leaf is like.
+
+    The tokens after those that lead to the leaf are cut into one part more than a template has free
+    places, so lines that are alike agree in one part at least.
+    """
+    free = f"((100 - {SIMILAR}) * size(tokens) div 100)"
+    rest = f"(size(tokens) - {DEPTH})"
+    start, end = (f"cast({k} * {rest} div ({free} + 1) as int)" for k in ("k", "(k + 1)"))
+    parts = f"transform(sequence(0, cast({free} as int)), k -> xxhash64(k, slice(tokens, {DEPTH} + 1 + {start}, {end} - {start})))"
+    long_ = lines.withColumn("tokens", F.split("masked", " ")).where(F.size("tokens") >= MIN_EQUAL)
+    keys = long_.select("leaf", "content", F.explode(F.expr(parts)).alias("part"))
+    several = keys.groupBy("leaf", "part").agg(F.min("content").alias("low"), F.max("content").alias("high"))
+    partners = keys.join(several.where("low != high"), ["leaf", "part"], "left_semi").select("content")
+    return long_.drop("tokens").join(partners, "content", "left_semi")
+
+
 def _learnt(contents: DataFrame, docs: DataFrame) -> DataFrame:
-    """``content, template`` for the lines that share a template with free fields.
+    """``content, template`` for the lines that may share a template with free fields.
 
     In each leaf the line that most documents have becomes a template, and takes in the lines that agree
-    with it in most places; then again for those that are left.
+    with it in most places; then again for those that are left, until none is. A round settles the first
+    HEADS lines of each leaf, in the same order as one by one, and all lines that are like one of them.
     """
     leaves = contents.groupBy("leaf").agg(F.min("content").alias("low"), F.max("content").alias("high"))
     leaves = written(leaves.where("low != high").select("leaf"), "line-leaves")
@@ -78,25 +103,32 @@ def _learnt(contents: DataFrame, docs: DataFrame) -> DataFrame:
         .select("leaf", "content", "n", F.regexp_replace(masked, WHITE, " ").alias("masked"))
     )
     left = written(texts.dropDuplicates(["content"]), "line-texts")
-    found = None
-    for _ in range(TEMPLATES):
-        heads = left.groupBy("leaf").agg(F.max(F.struct("n", "content", "masked")).alias("head"))
-        compared = left.join(heads, "leaf")
-        equal = F.size(
-            F.filter(F.zip_with(F.split("masked", " "), F.split("head.masked", " "), lambda x, y: x == y), lambda x: x)
-        )
-        size = F.size(F.split("masked", " "))
-        alike = (F.col("content") == F.col("head.content")) | (
-            (equal >= MIN_EQUAL) & (100 * equal >= SIMILAR * size)
+    found = left.select("content", F.col("content").alias("template")).limit(0)
+    size = HEADS
+    while True:
+        left = written(_with_partners(left), "line-left")
+        if left.isEmpty():
+            return found
+        order = Window.partitionBy("leaf").orderBy(F.desc("n"), F.desc("content"))
+        first = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+        ranked = first.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("rank", "content", "masked"))).alias("lines"))
+        none = F.slice("lines", 1, 0)
+        heads = F.aggregate(
+            "lines",
+            none,
+            lambda taken, line: F.when(
+                F.exists(taken, lambda head: _alike(head["masked"], line["masked"])), taken
+            ).otherwise(F.concat(taken, F.array(line))),
         )
+        heads = written(ranked.select("leaf", heads.alias("heads")), "line-heads")
+        own = F.filter("heads", lambda head: (head["content"] == F.col("content")) | _alike(head["masked"], F.col("masked")))
         compared = written(
-            compared.select("leaf", "content", "n", "masked", F.when(alike, F.col("head.content")).alias("template")),
+            left.join(heads, "leaf").select("leaf", "content", "n", "masked", F.get(own, F.lit(0))["content"].alias("template")),
             "line-templates",
         )
-        taken = compared.where("template is not null").select("content", "template")
-        found = taken if found is None else found.unionByName(taken)
+        found = found.unionByName(compared.where("template is not null").select("content", "template"))
         left = compared.where("template is null").drop("template")
-    return found
+        size = min(2 * size, MOST_HEADS)
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:
