@@ -13,7 +13,7 @@ from vaultline.llm.mixing import mix_sources
 from vaultline.llm.piece_matching import encode_documents, load_pieces
 from vaultline.llm.queries import DOMAIN, MIX_EPOCHS, MIX_PERCENT, MIX_SEED, PIECE_MODEL, mix_weights
 from vaultline.llm.tables import WORD, short_batches, table, written
-from vaultline.llm.template_lines import drop_recurring_lines
+from vaultline.llm.template_lines import WHITE, drop_recurring_lines
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,9 +41,17 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token budgets by target weights; a document is there once for each epoch that takes it."""
+    """Token budgets by target weights; a document is there once for each epoch that takes it.
+
+    One that is taken in part goes on with its first words; n_chars follows the text.
+    """
     chosen = mix_sources(docs, F.expr(DOMAIN), mix_weights(), MIX_PERCENT, MIX_EPOCHS, MIX_SEED)
-    return chosen.select(docs.columns)
+    part = F.col("taken_tokens") < F.col("n_tokens")
+    words = F.regexp_extract_all("text", F.lit(f"(?:{WHITE})?{WORD}"), F.lit(0))
+    first = F.array_join(F.slice(words, F.lit(1), F.col("taken_tokens").cast("int")), "")
+    cut = chosen.withColumn("text", F.when(part, first).otherwise(F.col("text")))
+    sizes = F.when(part, F.length("text")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", sizes.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
