@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from edge_rows import EDGE_TEXTS
 
 from vaultline.llm import queries
 from vaultline.llm.components import components
@@ -22,27 +23,6 @@ from vaultline.llm.template_lines import drop_recurring_lines
 from vaultline.llm.url_trie import RuleTrie, judge_urls
 from vaultline.llm.weak_toxicity import score_toxicity
 
-EDGE_TEXTS = [
-    None,
-    "",
-    "   \n\t\n",
-    "one",
-    "The quick brown fox jumps over the lazy dog while many people watch it run home today.",
-    "The quick brown fox jumps over the lazy dog while many people watch it run home today.",
-    "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 400,
-    "ÉÈ 漢字 😀 ▁ \x00 %%% ### !!! 123",
-]
-
-
-@pytest.fixture(scope="session")
-def edge_docs(spark):
-    """Nulls in every column, empty and long texts, repeated rows, and columns with clashing names."""
-    rows = [(i, t, "en" if i % 2 else None, "src1" if i % 3 else None, "x", 1.5) for i, t in enumerate(EDGE_TEXTS)]
-    rows += [rows[4], (None, EDGE_TEXTS[4], None, None, None, None), (None, None, None, None, None, None)]
-    columns = "doc_id long, text string, lang string, source string, row string, score double"
-    return spark.createDataFrame(rows, columns)
-
-
 @pytest.fixture(scope="session")
 def edge_labels(spark):
     rows = [(3, 0, 1), (4, 1, 0), (4, 1, 0), (5, 1, 0), (6, None, None), (None, 1, 1), (7, 2, 5), (99, 1, 0)]

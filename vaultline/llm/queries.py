@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.llm.alignment import align_documents, read_piece_model, score_links
+from vaultline.llm.byte_pairs import encode_byte_pairs, load_byte_pairs
 from vaultline.llm.crf_quality import fit_field, score_quality
 from vaultline.llm.itq_dedup import itq_components
 from vaultline.llm.jaccard_join import jaccard_components
@@ -18,6 +20,7 @@ from vaultline.llm.tables import table
 from vaultline.llm.template_lines import drop_recurring_lines
 from vaultline.llm.url_trie import judge_urls
 from vaultline.llm.weak_toxicity import score_toxicity
+from vaultline.llm.whitening import whiten
 
 # The mix: weights of the tree's nodes; what isn't named has weight 1.
 DOMAIN = "concat('domain', coalesce(try_cast(substring(source, 4) as int) % 3, 0))"
@@ -37,6 +40,7 @@ RULES = [
 # Vocabulary files of public tokenizers.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 PIECE_LIST = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
@@ -153,6 +157,27 @@ def longest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), read_pieces(PIECE_LIST))
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    aligned = align_documents(docs, load_byte_pairs(BYTE_MODEL), read_piece_model(PIECE_MODEL))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return score_links(aligned.withColumn("groups", digest).withColumnRenamed("groups", "groups_sha256"))
+
+
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_byte_pairs(table(spark, sf_dir, "documents"), load_byte_pairs(BYTE_MODEL))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing,
     "op2_itq_dedup": itq_dedup,
@@ -164,6 +189,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_matching": piece_matching,
     "op9_jaccard_join": jaccard_join,
     "op10_longest_match": longest_match,
+    "op11_alignment": alignment,
+    "op12_whitening": whitening,
+    "op13_byte_pairs": byte_pairs,
 }
 
 ORACLES: dict[str, str] = {"op1_mixing": MIXING_SQL, "op6_url_trie": URL_SQL}
