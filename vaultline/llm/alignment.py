@@ -17,9 +17,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from vaultline.llm.byte_pairs import BytePairs, gathered, model_digest, shared_pair_encoder
 from vaultline.llm.spans import chunks
-from vaultline.llm.tables import written
+from vaultline.llm.tables import batches_of, written
 
-CHUNK = 500_000  # characters of texts at once
+CHUNK = 250_000  # characters of texts at once
 RANGE = 1 << 16  # bytes of a part of a long text; shorter texts are aligned as a whole
 FAN = 16  # neighbouring fragments that one step composes
 BLOCK, BLOCK_KINDS = 32_000_000, 1_000_000  # a block of documents ends beyond so many links (a document's kinds), or kinds
@@ -615,7 +615,8 @@ def score_links(aligned: DataFrame) -> DataFrame:
             yield ended()
 
     schema = f"block long, {head}, links binary, kinds array<long>, totals array<long>"
-    staged = written(aligned.mapInArrow(blocks, schema), "alignment-blocks")
+    with batches_of(aligned.sparkSession):  # texts are long
+        staged = written(aligned.mapInArrow(blocks, schema), "alignment-blocks")
     found = staged.where("kinds is not null").selectExpr("block", "posexplode(arrays_zip(kinds, totals)) as (number, entry)")
     found = found.selectExpr("block", "number", "entry.kinds as kind", "entry.totals as total")
     corpus = found.groupBy("kind").agg(F.sum("total").alias("count"))

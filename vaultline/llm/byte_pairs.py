@@ -18,7 +18,7 @@ from vaultline.llm.spans import chunks, span_hashes
 CHUNK = 500_000  # characters of texts at once
 SHORT = 24  # bytes of the fragments that are merged side by side; longer ones take a queue each
 SIDE_BY_SIDE = 20_000  # fragments in one table
-CACHE = 5_000_000  # tokens of fragments that a worker remembers
+CACHE = 1_000_000  # tokens of fragments that a worker remembers
 NEVER = np.int64(1) << 40
 
 # What the pre-tokenizer's pattern tells apart; EDGE is the end of a text, or an added token.
