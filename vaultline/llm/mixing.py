@@ -13,17 +13,23 @@ KEY_BITS = 60
 ADDED = ["epoch", "n_tokens", "taken_tokens"]
 
 
+def _ratio(top: Column, bottom: Column) -> Column:
+    """Their quotient, or 0 above nothing."""
+    return F.when(bottom > 0, top / bottom).otherwise(0.0)
+
+
 def _water_filled(nodes: DataFrame, parents: list[str], node: str) -> DataFrame:
     """Adds ``share``: the parent's ``budget`` by weight, none above a node's ``capacity``.
 
     What a node cannot use rises the level for its siblings. In order of capacity by weight, the level
     that fills the rest is highest at the first node that it does not fill, so its maximum is the level.
+    Nodes of weight 0 have no capacity; siblings that all have weight 0 have no level.
     """
     siblings = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
-    ranked = siblings.orderBy(F.col("capacity") / F.col("weight"), node)
+    ranked = siblings.orderBy(_ratio(F.col("capacity"), F.col("weight")), node)
     before = F.coalesce(F.sum("capacity").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     left = F.sum("weight").over(ranked.rowsBetween(0, Window.unboundedFollowing))
-    level = ((F.col("budget") - before) / left).alias("level")
+    level = _ratio(F.col("budget") - before, left).alias("level")
     highest = F.max("level").over(siblings)
     share = F.least(F.col("capacity"), F.floor(highest * F.col("weight")))
     return nodes.select("*", level).withColumn("share", F.greatest(share, F.lit(0))).drop("level")
