@@ -105,8 +105,8 @@ def test_compaction_is_repeatable_and_ignores_an_unfinished_base(spark, scratch)
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{scratch}/landing/part_0")
     source = stream_table(spark, f"{scratch}/landing/*", spark.createDataFrame([], SCHEMA).schema)
     run_available(write_changes(source, FEED, f"{scratch}/target", f"{scratch}/checkpoint"))
-    # What a compaction that broke off before its marker leaves behind.
-    spark.createDataFrame(rows[:1], SCHEMA).drop("src").write.parquet(f"{scratch}/target/base/upto=0")
+    # What a compaction that broke off while it wrote leaves behind.
+    spark.createDataFrame(rows[:1], SCHEMA).drop("src").write.parquet(f"{scratch}/target/base/_coming/bucket=0")
     assert found(read_current(spark, FEED, f"{scratch}/target")) == expected(rows)
     assert [compact(spark, FEED, f"{scratch}/target") for _ in range(3)] == [0, 0, 0]
     assert found(read_current(spark, FEED, f"{scratch}/target")) == expected(rows)

@@ -143,9 +143,8 @@ def test_no_identity_of_a_deleted_customer_is_left(spark, scratch):
     assert refresh.compact_customers(spark, out) == 1
     assert refresh.current_customers(spark, out).count() == 0
     target = f"{out}/{refresh.CUSTOMERS_CDC}"
-    assert os.listdir(f"{target}/base") == ["upto=1"]
-    assert [x for x in os.listdir(f"{target}/changes") if x.startswith("batch=")] == []
-    kept = spark.read.parquet(f"{target}/base/upto=1").select("full_name", "email", "phone").collect()
+    assert [x for x in os.listdir(f"{target}/changes") if x.startswith("batch=")] == ["batch=-1"]
+    kept = spark.read.parquet(f"{target}/base").select("full_name", "email", "phone").collect()
     assert [tuple(row) for row in kept] == [(None, None, None)]
 
 

@@ -53,7 +53,7 @@ def test_expected_row_counts(spark, sf_dir, name):
 
 
 # These run streams or write tables while they are built, so they are left to the tests above.
-EAGER = ("stream", "refresh", "sink", "json", "infer", "source_file", "table_tags", "cdc_stream")
+EAGER = ("stream", "refresh", "sink", "json", "infer", "source_file", "table_tags", "cdc_stream", "gdpr_stored", "rule_counts", "rls_membership")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith(EAGER)))

@@ -1,4 +1,4 @@
-"""Job entry: python -m vaultline {generate,refresh,compact} ... (or the same through spark-submit)."""
+"""Job entry: python -m vaultline {generate,refresh,compact,forget} ... (or the same through spark-submit)."""
 
 from __future__ import annotations
 
@@ -29,16 +29,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument(
         "--max-bytes-per-trigger", type=int, default=BATCH_BYTES, help="size of one batch of a backlog"
     )
-    run.add_argument(
-        "--salts", type=int, default=refresh.SALTS, help="groups in which the copies of a key meet first"
-    )
     run.add_argument("--multi-line", action="store_true", help="a file holds one array over several lines")
     run.add_argument(
-        "--found-fields", action="store_true", help="also keep fields beyond the known ones; reads all files once more"
+        "--found-fields", action="store_true", help="also keep fields beyond the known ones; reads new files twice"
     )
+    run.add_argument("--database", help="catalog database whose gold tables are switched version by version")
+    run.add_argument("--archive", help="folder to which landed files go once they are taken in (streams only)")
 
-    fold = commands.add_parser("compact", help="fold the change folders of the customers into one base")
+    fold = commands.add_parser("compact", help="fold the change folders of the customers into their base, and the known keys")
     fold.add_argument("out")
+
+    forget = commands.add_parser("forget", help="blank the identity of deleted customers in the stored tables")
+    forget.add_argument("out")
     return parser.parse_args(argv)
 
 
@@ -49,22 +51,26 @@ def main(argv: list[str] | None = None) -> None:
         generator.write_landing(spark, chosen.landing, chosen.customers, chosen.transactions)
     elif chosen.command == "compact":
         print(refresh.compact_customers(spark, chosen.out))
+        refresh.fold_keys(spark, chosen.out)
+    elif chosen.command == "forget":
+        print(json.dumps(refresh.forget_customers(spark, chosen.out), indent=2))
     if chosen.command != "refresh":
         return
-    extras = refresh.found_extras(spark, chosen.landing, chosen.multi_line) if chosen.found_fields else None
     if chosen.checkpoints:
         counts = refresh.refresh_available(
             spark,
             chosen.landing,
             chosen.out,
             chosen.checkpoints,
-            extras,
-            salts=chosen.salts,
             multi_line=chosen.multi_line,
+            database=chosen.database,
+            found_fields=chosen.found_fields,
+            archive=chosen.archive,
             maxBytesPerTrigger=chosen.max_bytes_per_trigger,
         )
         print(json.dumps(counts, indent=2))
     else:
+        extras = refresh.found_extras(spark, chosen.landing, chosen.multi_line) if chosen.found_fields else None
         counts = refresh.refresh_batch(spark, chosen.landing, chosen.out, extras, chosen.multi_line)
         print(json.dumps(counts, indent=2))
 

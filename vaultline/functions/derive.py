@@ -104,13 +104,22 @@ def requires_investigation(level: Column | str = "alert_level") -> Column:
     return is_true(_column(level).isin(*INVESTIGATED_LEVELS))
 
 
+def cents_and_others(c: Column | str) -> tuple[Column, Column]:
+    """Sums of two-decimal money, as decimals, and of the values that have no exact cents: those of EXACT_BELOW
+    and more, infinities and NaN."""
+    value = _column(c)
+    exact = F.abs(value) < EXACT_BELOW
+    return F.sum(F.when(exact, value).cast("decimal(18,2)")), F.sum(F.when(~exact, value))
+
+
+def money_total(cents: Column, others: Column) -> Column:
+    cents = cents.cast("double")
+    return F.when(others.isNull(), cents).otherwise(others + F.coalesce(cents, F.lit(0.0)))
+
+
 def money_sum(c: Column | str) -> Column:
     """Sum of two-decimal money that does not depend on the order rows arrive in.
 
-    Values of EXACT_BELOW and more, infinities and NaN, which have no exact cents, are added as doubles.
+    Values without exact cents are added as doubles.
     """
-    value = _column(c)
-    exact = F.abs(value) < EXACT_BELOW
-    cents = F.sum(F.when(exact, value).cast("decimal(18,2)")).cast("double")
-    others = F.sum(F.when(~exact, value))
-    return F.when(others.isNull(), cents).otherwise(others + F.coalesce(cents, F.lit(0.0)))
+    return money_total(*cents_and_others(c))

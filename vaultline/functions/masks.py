@@ -19,6 +19,14 @@ PHONE_FILL = "*****"
 IBAN_FILL = "***"
 
 
+# The masks as SQL text over a column.
+MASK_SQL = {
+    "mask_email": f"concat(left({{0}}, 1), '{EMAIL_FILL}', get(split({{0}}, '@'), 1))",
+    "mask_phone": f"concat(left({{0}}, 4), '{PHONE_FILL}', right({{0}}, 3))",
+    "mask_iban": f"concat(left({{0}}, 4), '{IBAN_FILL}', right({{0}}, 3))",
+}
+
+
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -71,18 +79,27 @@ def register_sql(spark: SparkSession, groups: Iterable[str] = ()) -> None:
     clear = ENGINEERS in groups
     seen = visible_nationality(groups)
     bodies = {
-        "mask_email(email STRING) RETURNS STRING": "email"
-        if clear
-        else f"concat(left(email, 1), '{EMAIL_FILL}', get(split(email, '@'), 1))",
-        "mask_phone(phone STRING) RETURNS STRING": "phone"
-        if clear
-        else f"concat(left(phone, 4), '{PHONE_FILL}', right(phone, 3))",
-        "mask_iban(iban STRING) RETURNS STRING": "iban"
-        if clear
-        else f"concat(left(iban, 4), '{IBAN_FILL}', right(iban, 3))",
-        "rls_by_nationality(nationality STRING) RETURNS BOOLEAN": str(seen).lower()
-        if isinstance(seen, bool)
-        else f"nationality = '{seen}'",
+        f"{name}({column} STRING) RETURNS STRING": column if clear else mask.format(column)
+        for (name, mask), column in zip(MASK_SQL.items(), ("email", "phone", "iban"))
     }
+    seen_sql = str(seen).lower() if isinstance(seen, bool) else f"nationality = '{seen}'"
+    bodies["rls_by_nationality(nationality STRING) RETURNS BOOLEAN"] = seen_sql
     for signature, body in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
+
+
+def member_sql(membership: str, group: str) -> str:
+    """Whether the user who runs a query is in a group by the table ``membership`` (user_name, group_name), as SQL text."""
+    return f"(SELECT count(*) > 0 FROM {membership} WHERE user_name = session_user() AND group_name = '{group}')"
+
+
+def masked_sql(mask: str, column: str, membership: str) -> str:
+    """The named mask over a column, for whoever runs the query."""
+    return f"CASE WHEN {member_sql(membership, ENGINEERS)} THEN {column} ELSE {MASK_SQL[mask].format(column)} END"
+
+
+def rls_by_nationality_sql(column: str, membership: str) -> str:
+    """The rows that whoever runs the query may see; the first group that fits decides."""
+    cases = [f"WHEN {member_sql(membership, ENGINEERS)} THEN true"]
+    cases += [f"WHEN {member_sql(membership, group)} THEN {column} = '{nation}'" for group, nation in ANALYST_NATIONALITY]
+    return f"CASE {' '.join(cases)} ELSE false END"

@@ -34,7 +34,9 @@ def first_per_key(
 ) -> DataFrame:
     """First arrival per key. A stream keeps every key it has ever seen in the state store.
 
-    On a stream, ``salts`` lets the copies of a key first meet in that many groups, each passing on
+    On a stream, the first batch that has a key wins it, but any of the copies within that batch may be kept, as
+    a stateful operator takes rows in the order in which they come out of a shuffle. Where that order counts,
+    use ``streaming.batches.write_first``, as the refresh does. ``salts`` lets the copies of a key first meet in that many groups, each passing on
     one row, before they meet as a key. It relieves the task of a key with very many copies, such as the
     rows without a key, at the price of a second state.
     """

@@ -24,8 +24,13 @@ def fraud_enriched(by_account: DataFrame, accounts: DataFrame, customers: DataFr
 
 
 def fraud_alerts(transactions: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    return alerts_of(fraud_by_account(transactions), accounts, customers)
+
+
+def alerts_of(by_account: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """From totals per account, such as those that ``streaming.totals`` keeps."""
     return (
-        fraud_enriched(fraud_by_account(transactions), accounts, customers)
+        fraud_enriched(by_account, accounts, customers)
         .withColumn("alert_level", alert_level())
         .withColumns(
             {"requires_investigation": requires_investigation(), UPDATED_AT: F.current_timestamp()}

@@ -63,13 +63,22 @@ def cleaned(
 
     ``salts`` spreads the copies of a key on a stream, see ``first_per_key``.
     """
-    wanted = (*COLUMNS[entity], *extra_columns)
-    order = () if raw.isStreaming else ARRIVAL
-    needed = [c for c in raw.columns if c in wanted or c in order]
-    rows = first_per_key(raw.select(*needed), [KEYS[entity]], salts=salts)
+    rows = first_per_key(needed(entity, raw, extra_columns), [KEYS[entity]], salts=salts)
+    return derived(entity, rows, extra_columns, strict)
+
+
+def needed(entity: str, raw: DataFrame, extra_columns: Sequence[str] = (), arrival: bool | None = None) -> DataFrame:
+    """The raw columns that silver is made of, and (by default not on a stream) those that tell who came first."""
+    order = ARRIVAL if (not raw.isStreaming if arrival is None else arrival) else ()
+    wanted = (*COLUMNS[entity], *extra_columns, *order)
+    return raw.select(*(c for c in raw.columns if c in wanted))
+
+
+def derived(entity: str, firsts: DataFrame, extra_columns: Sequence[str] = (), strict: bool = False) -> DataFrame:
+    """Parsed and derived columns of rows of which each key has one."""
     for assignments in _derived(entity, strict):
-        rows = rows.withColumns(assignments)
-    return rows.select(*wanted)
+        firsts = firsts.withColumns(assignments)
+    return firsts.select(*COLUMNS[entity], *extra_columns)
 
 
 def table(
@@ -84,6 +93,17 @@ def table(
     return enforce(rows, rulebook.SILVER[entity], metrics)
 
 
+def refined(
+    entity: str,
+    firsts: DataFrame,
+    extra_columns: Sequence[str] = (),
+    metrics: str | Observation | None = None,
+    strict: bool = False,
+) -> DataFrame:
+    """``table`` of rows of which each key has one already, see ``streaming.batches.write_first``."""
+    return enforce(derived(entity, firsts, extra_columns, strict), rulebook.SILVER[entity], metrics)
+
+
 def customers(raw: DataFrame, extra_columns: Sequence[str] = (), **options) -> DataFrame:
     return table("customers", raw, extra_columns, **options)
 

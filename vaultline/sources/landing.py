@@ -55,8 +55,8 @@ def stream_landing(
     return with_lineage(reader.json(path))
 
 
-def infer_schema(spark: SparkSession, path: str, multi_line: bool = False) -> StructType:
-    """Types found in all the files, fields in name order. Run once, then keep the result fixed."""
+def infer_schema(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> StructType:
+    """Types found in all the files, fields in name order. Keep the result fixed, see ``sources.fields``."""
     reader = spark.read.option("multiLine", multi_line).option("inferTimestamp", False)
     reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     return StructType([f for f in reader.json(path).schema.fields if f.name != MALFORMED])

@@ -7,10 +7,12 @@ from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """With a ``schema``, also a table that has no files yet can be read."""
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    """With a ``schema``, also a table that has no files yet can be read. Folders of batches and buckets are no columns."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.option("recursiveFileLookup", True).parquet(path)
 
 
 def stream_table(spark: SparkSession, path: str, schema: StructType, **options: str | int) -> DataFrame:
     """``options`` are those of the file source, such as ``maxBytesPerTrigger`` (a number of bytes)."""
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    return reader.options(**options).parquet(path)

@@ -94,6 +94,19 @@ COPY_EARLY = {"customers": "'unknown'", "accounts": "-abs(balance)", "transactio
 COPY_LATE = {"customers": "'verified'", "accounts": "abs(balance) + 1", "transactions": "abs(amount) + 1"}
 
 
+# Later states of customers: when they were made, which customers have one, what changes, and in which of
+# three runs they land. Some arrive late, some are deletes, some come back, some have no time that can be read.
+CUSTOMER_CHANGES = (
+    ("'2024-01-01T00:00:00'", "true", {}, 0),
+    ("'2024-02-01T00:00:00'", "number % 3 = 0", {"email": "'new' || number || '@mail.test'"}, 1),
+    ("'2024-03-01T00:00:00'", "number % 5 = 0", {"is_deleted": "true"}, 1),
+    ("'2024-04-01T00:00:00'", "number % 10 = 0", {"is_deleted": "false", "full_name": "'back ' || number"}, 2),
+    ("'2023-12-01T00:00:00'", "number % 7 = 0", {"phone": "'too late'"}, 2),
+    ("'2024-05-01T00:00:00'", "number % 35 = 0", {"is_deleted": "NULL", "kyc_status": "'pending'"}, 0),
+    ("'some day'", "number % 11 = 0", {"full_name": "'never'"}, 2),
+)
+
+
 class Bank:
     """The bank tables of one test-data folder, layer by layer."""
 
@@ -127,6 +140,17 @@ class Bank:
         ]
         return reduce(DataFrame.unionByName, parts, raw.withColumn("arrival", F.lit(1))).drop("number")
 
+    def changed_customers(self) -> DataFrame:
+        """All states of the customers, with the ``run`` in which each should land."""
+        raw = self.raw("customers").withColumn("number", F.col("customer_id").cast("long"))
+        parts = []
+        for created, chosen, altered, run in CUSTOMER_CHANGES:
+            columns = {"created_at": created, **altered}
+            types = {f.name: f.dataType for f in raw.schema.fields}
+            part = raw.where(chosen).withColumns({c: F.expr(e).cast(types[c]) for c, e in columns.items()})
+            parts.append(part.withColumn("run", F.lit(run)))
+        return reduce(DataFrame.unionByName, parts).drop("number")
+
     def bronze(self, entity: str) -> DataFrame:
         return bronze.raw(entity, self.landed(entity))
 

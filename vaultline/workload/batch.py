@@ -12,11 +12,20 @@ from vaultline.functions import derive, masks
 from vaultline.operators import changes, dedup, privacy, quality, rollups, rules, velocity
 from vaultline.plans import bronze, checkbook, customer_360, fraud_alerts, refresh, rulebook, silver
 from vaultline.schemas import INGESTED_AT, MALFORMED, RAW, SOURCE_FILE, UPDATED_AT, with_extra
-from vaultline.sinks import create_tagged, overwrite, table_tags, write_clustered, write_json
+from vaultline.sinks import create_tagged, overwrite, switch_table, table_tags, write_clustered, write_json
 from vaultline.sources import generator, landing
 from vaultline.sources.tables import read_table
 from vaultline.workload import sql
-from vaultline.workload.adapter import COPY_ALTERS, COPY_EARLY, COPY_LATE, EXTRA, EXTRA_FIELDS, USER_CHANGES, Bank
+from vaultline.workload.adapter import (
+    COPY_ALTERS,
+    COPY_EARLY,
+    COPY_LATE,
+    CUSTOMER_CHANGES,
+    EXTRA,
+    EXTRA_FIELDS,
+    USER_CHANGES,
+    Bank,
+)
 from vaultline.workload.registry import query
 
 ENTITIES = ("customers", "accounts", "transactions")
@@ -273,6 +282,19 @@ query("cdc_scd1", CURRENT_USERS_SQL)(
 )
 
 
+CDC_CUSTOMERS_SQL = sql.given(
+    [sql.RAW_CUSTOMERS, sql.changed_customers(CUSTOMER_CHANGES), sql.CURRENT_CUSTOMERS],
+    "SELECT * FROM current_customers",
+)
+
+
+@query("cdc_customers", CDC_CUSTOMERS_SQL)
+def cdc_customers(bank: Bank) -> DataFrame:
+    """Customers as of their newest state: updates, deletes, returns, late rows and times that can't be read."""
+    landed = bank.changed_customers().drop("run").withColumn(INGESTED_AT, F.current_timestamp())
+    return changes.apply_changes(landed, refresh.CUSTOMER_CHANGES).drop(INGESTED_AT)
+
+
 # --- gold -------------------------------------------------------------------------------------
 
 query("tx_metrics", sql.given(sql.TRANSACTIONS + [sql.TX_METRICS], "SELECT * FROM tx_metrics"))(
@@ -422,6 +444,16 @@ def table_tags_query(bank: Bank) -> DataFrame:
     return stored.withColumns({tag: F.lit(tags.get(tag)) for tag in ("quality", "pii")})
 
 
+@query("sink_switched", C360_SQL)
+def sink_switched(bank: Bank) -> DataFrame:
+    """The customer view, written three times as versions of a catalog table; the last one is read by its name."""
+    root = bank.scratch("switched")
+    table = "switched_" + root.rsplit("-", 1)[-1]
+    for part in ("customer_id < 'C'", "risk_score IS NULL", "true"):
+        switch_table(_customer_360(bank).where(part), table, root, "Customers in versions", {"quality": "gold"})
+    return bank.spark.table(table)
+
+
 @query("refresh_batch", C360_SQL)
 def refresh_batch(bank: Bank) -> DataFrame:
     """Landing JSON through bronze and silver files to the stored customer view."""
@@ -491,6 +523,22 @@ for _reader, (_groups, _select) in READERS.items():
         ).drop(INGESTED_AT)
     )
 
+@query("rls_membership", sql.given(sql.CUSTOMERS, READERS["be"][1]))
+def rls_membership(bank: Bank) -> DataFrame:
+    """A lasting view that looks up the groups of whoever reads it."""
+    path = bank.scratch("secured")
+    name = "customers_" + path.rsplit("-", 1)[-1]
+    create_tagged(bank.silver("customers").drop(INGESTED_AT), name, f"{path}/customers", "Customers", {"pii": "true"})
+    groups = F.explode(F.array(F.lit("data-analysts-be"), F.lit("night-shift"))).alias("group_name")
+    members = bank.spark.range(1).select(F.expr("session_user()").alias("user_name"), groups)
+    others = bank.silver("customers").select("customer_id", F.lit("data-engineers"))
+    create_tagged(members.union(others), f"{name}_members", f"{path}/members", "Who is in which group", {})
+    views = privacy.secure_in_catalog(
+        bank.spark, {"customers": name}, f"{name}_members", {"customers": privacy.POLICIES["customers"]}
+    )
+    return bank.spark.table(views["customers"])
+
+
 query(
     "gdpr_anonymize",
     sql.given(

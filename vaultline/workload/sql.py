@@ -168,6 +168,22 @@ def first_copies(entity: str, key: str, altered: str, early: str, late: str) ->
     ]
 
 
+def changed_customers(changes) -> str:
+    """The states of the customers as planted, one select each."""
+    selects = []
+    for created, chosen, altered, _ in changes:
+        columns = {"created_at": created, **altered}
+        number = "CAST(customer_id AS BIGINT)"
+        replaced = ", ".join(f"{e.replace('number', number)} AS {c}" for c, e in columns.items())
+        selects.append(f"SELECT * REPLACE ({replaced}) FROM raw_customers WHERE {chosen.replace('number', number)}")
+    return "changed_customers AS (" + union(selects) + ")"
+
+
+CURRENT_CUSTOMERS = """current_customers AS (
+  SELECT * FROM changed_customers
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY try_cast(created_at AS TIMESTAMP) DESC NULLS LAST) = 1
+  AND is_deleted IS DISTINCT FROM true)"""
+
 RAW = [RAW_CUSTOMERS, RAW_ACCOUNTS, RAW_TRANSACTIONS]
 CUSTOMERS = [RAW_CUSTOMERS, CLEAN_CUSTOMERS, SILVER_CUSTOMERS]
 ACCOUNTS = [RAW_ACCOUNTS, CLEAN_ACCOUNTS, SILVER_ACCOUNTS]
