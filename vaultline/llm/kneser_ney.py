@@ -1,130 +1,38 @@
-"""Perplexity of texts under a modified Kneser-Ney model of word runs that Spark counts over the whole corpus."""
+"""Quality by perplexity: a modified Kneser-Ney model of character runs, counted over the whole corpus by language.
+
+A model of words has seen few of the words of an unseen text, so its figures tell apart little but copies; runs of
+characters, blanks between words among them, tell a language, its spelling, its order of signs and how often it
+says the same again. Runs that only one text of the corpus has (or its exact copies) are no part of the model, so no
+text vouches for itself.
+"""
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.llm.tables import written
-from vaultline.llm.word_model import blocks_of_words, scored_by_others
+from vaultline.llm.spans import chunks, mix
+from vaultline.llm.tables import batches_of, written
 
-# Symbols: 64 classes of characters, for the small model of symbol runs below, which judges no text.
-ORDER, SYMBOL_BITS = 4, 6
-PAD, END = 0, 1
-LOWER_A, UPPER_A, DIGIT, SPACE, LINE, STOP, MARK, SIGN, OTHER = 2, 28, 54, 55, 56, 57, 58, 59, 60
+ORDER = 5  # characters of a run
+MIN_WORDS, REPEATED_PERCENT = 50, 50
 SIGNS = "#*$%&|<>"
-MIN_WORDS = 50
-REPEATED_PERCENT = 50
-FENCE = 4.0  # interquartile ranges beyond the quartiles of a language
-
-
-def _ascii_symbols() -> np.ndarray:
-    table = np.full(128, MARK, dtype=np.uint8)
-    table[:33] = SPACE
-    table[ord("\n")] = LINE
-    for start, to, size in ((ord("a"), LOWER_A, 26), (ord("A"), UPPER_A, 26)):
-        table[start : start + size] = np.arange(to, to + size)
-    table[ord("0") : ord("9") + 1] = DIGIT
-    for chars, symbol in ((".,", STOP), (SIGNS, SIGN)):
-        table[[ord(c) for c in chars]] = symbol
-    return table
-
-
-_ASCII = _ascii_symbols()
-
+FENCE = 4.0  # width of a band, in standard deviations as the quartiles tell them
+LEAST_SPREAD = 0.005  # bits a character
+LEAST_TEXTS = 32  # of a length class, to have bands of its own
+BIN = 0.002  # bits a character; quartiles are exact up to it
+FREQUENT = 1 << 19  # runs that are broadcast, at most; all others are joined
+HELD = 1 << 21  # counts that a task holds before it adds them up
+RANGE = 1 << 16  # runs of the model in one range of hashes, about
 
-def symbol_runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The run that ends at each symbol, the newest symbol in the lowest bits, and the bounds of the texts.
-
-    Every text begins with pads and ends with an end symbol; characters beyond ASCII share four classes.
-    """
-    parts, sizes = [], []
-    for text in texts:
-        codes = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        symbols = np.where(codes < 128, _ASCII[np.minimum(codes, 127)], OTHER + codes % 4).astype(np.int32)
-        parts.append(np.concatenate([np.full(ORDER - 1, PAD, dtype=np.int32), symbols, [END]]))
-        sizes.append(len(codes) + 1)
-    line = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-    runs = line[ORDER - 1 :].copy()
-    for back in range(1, ORDER):
-        runs |= line[ORDER - 1 - back : len(line) - back] << (SYMBOL_BITS * back)
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    # Without the runs that reach from one text into the pads of the next.
-    keep = np.repeat(np.arange(len(texts)) * (ORDER - 1), sizes) + np.arange(bounds[-1])
-    return runs[keep], bounds
-
-
-class Model:
-    """For each order, sorted arrays: hashes of the runs with log probabilities, of contexts with log weights
-    of the shorter model. A run's hash is its symbols side by side, so different runs never clash."""
-
-    def __init__(self, runs: np.ndarray, counts: np.ndarray):
-        order = np.argsort(runs)
-        levels = [(runs[order].astype(np.int64), counts[order].astype(np.float64))]
-        for size in range(ORDER - 1, 0, -1):
-            # A shorter run counts by how many different symbols come before it.
-            keys, continued = np.unique(levels[-1][0] & ((1 << (SYMBOL_BITS * size)) - 1), return_counts=True)
-            levels.append((keys, continued.astype(np.float64)))
-        self.levels = []
-        shorter = None
-        for keys, numbers in reversed(levels):
-            shorter = self._level(keys, numbers, shorter)
-            self.levels.append(shorter)
-
-    @staticmethod
-    def _discounts(numbers: np.ndarray) -> np.ndarray:
-        """For counts of one, two, and three or more; a share of them where the usual estimate fails."""
-        of = [max(1.0, float((numbers == k).sum())) for k in (1, 2, 3, 4)]
-        ratio = of[0] / (of[0] + 2 * of[1])
-        found = [k - (k + 1) * ratio * of[k] / of[k - 1] for k in (1, 2, 3)]
-        return np.array([d if 0 < d < k else 0.5 * k for k, d in zip((1, 2, 3), found)])
-
-    def _level(self, keys, numbers, shorter):
-        discount = self._discounts(numbers)
-        context = keys >> SYMBOL_BITS
-        heads, first = np.unique(context, return_index=True)
-        kind = np.minimum(numbers, 3).astype(int) - 1
-        total = np.add.reduceat(numbers, first) if len(first) else numbers
-        taken = np.add.reduceat(discount[kind], first) if len(first) else numbers
-        which = np.searchsorted(heads, context)
-        own = (numbers - discount[kind]) / total[which]
-        weight = taken / total
-        if shorter is None:
-            below = np.full(len(keys), 1.0 / (1 << SYMBOL_BITS))
-        else:
-            size = int(np.log2(shorter["mask"] + 1))
-            below = np.exp(shorter["logp"][np.searchsorted(shorter["keys"], keys & ((1 << size) - 1))])
-        bits = 0 if shorter is None else int(np.log2(shorter["mask"] + 1))
-        return {
-            "mask": (1 << (bits + SYMBOL_BITS)) - 1,
-            "keys": keys,
-            "logp": np.log(own + weight[which] * below),
-            "heads": heads,
-            "logw": np.log(weight),
-        }
-
-    def log_probabilities(self, runs: np.ndarray) -> np.ndarray:
-        """Of the last symbol of each run after the others."""
-        out = np.zeros(len(runs))
-        open_ = np.arange(len(runs))
-        for level in reversed(self.levels):
-            key = runs[open_] & level["mask"]
-            at = np.minimum(np.searchsorted(level["keys"], key), max(0, len(level["keys"]) - 1))
-            hit = level["keys"][at] == key if len(level["keys"]) else np.zeros(len(key), dtype=bool)
-            out[open_[hit]] += level["logp"][at[hit]]
-            open_, key = open_[~hit], key[~hit]
-            if not len(open_):
-                return out
-            context = key >> SYMBOL_BITS
-            at = np.minimum(np.searchsorted(level["heads"], context), max(0, len(level["heads"]) - 1))
-            known = level["heads"][at] == context if len(level["heads"]) else np.zeros(len(key), dtype=bool)
-            out[open_[known]] += level["logw"][at[known]]
-        out[open_] -= np.log(1 << SYMBOL_BITS)
-        return out
+BLANK, ODD = 0x20, np.uint64(0x9E3779B97F4A7C15)
 
 
 def base_measures(text: str | None) -> tuple[int, int, int, int, int]:
@@ -151,9 +59,358 @@ def base_measures(text: str | None) -> tuple[int, int, int, int, int]:
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _measured(frame: pd.DataFrame) -> pd.DataFrame:
-    rows = pd.DataFrame([base_measures(t) for t in frame["text"]], columns=list(MEASURES), index=frame.index)
-    return pd.concat([frame[["doc_id", "lang", "tongue"]], rows], axis=1)
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+# --- runs of characters ---------------------------------------------------------------------------------
+
+
+@dataclass
+class Runs:
+    """The runs of some texts, one for each character and the blank behind the last.
+
+    key: hash of the tongue and the run; text: whose it is; codes: characters of all texts, blank behind blank
+    taken out; at, start: place of a run's last character in them, and of its text's first. A run that begins
+    before its text has blanks there.
+    """
+
+    key: np.ndarray
+    text: np.ndarray
+    codes: np.ndarray
+    at: np.ndarray
+    start: np.ndarray
+
+    def characters(self, which: np.ndarray) -> np.ndarray:
+        """The runs as rows of ORDER characters."""
+        place = self.at[which][:, None] - np.arange(ORDER - 1, -1, -1)
+        inside = place >= self.start[which][:, None]
+        return np.where(inside, self.codes[np.maximum(place, 0)], BLANK).astype(np.uint32)
+
+
+def run_keys(tongue: np.ndarray, characters: np.ndarray) -> np.ndarray:
+    key = tongue.astype(np.int64).view(np.uint64)
+    for k in range(characters.shape[1]):
+        key = (key + characters[:, k].astype(np.uint64) + np.uint64(1)) * ODD
+    return mix(key)
+
+
+def runs_of(texts: list[str | None], tongues: np.ndarray) -> Runs:
+    """White space counts as one blank; a text without words has no runs. A zero character counts as U+FFFD."""
+    joined = "\n".join(["", *(t or "" for t in texts), ""])
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    sizes = np.array([len(t or "") + 1 for t in texts], dtype=np.int64)
+    white = (codes == BLANK) | (codes - np.uint32(9) <= np.uint32(4))
+    codes = np.where(white, np.uint32(BLANK), np.where(codes == 0, np.uint32(0xFFFD), codes))
+    # Of a run of blanks the first stays, as the end of the text before it; none stay in front of a text.
+    owner = np.concatenate([np.repeat(np.arange(len(texts)), sizes), [len(texts)]])  # the blank before a text is its own
+    stays = ~white
+    stays[1:] |= white[1:] & ~white[:-1]
+    owner = np.where(white, np.concatenate([[0], owner[:-1]]), owner)
+    stays[0] = False
+    at = np.flatnonzero(stays)
+    codes, owner = codes[at], owner[at]
+    first = np.ones(len(owner), dtype=bool)
+    first[1:] = owner[1:] != owner[:-1]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(owner)), 0))
+    place = np.arange(len(owner))
+    key = tongues[owner].astype(np.int64).view(np.uint64) if len(owner) else np.zeros(0, dtype=np.uint64)
+    for back in range(ORDER - 1, -1, -1):
+        inside = place - back >= start
+        character = np.where(inside, codes[np.maximum(place - back, 0)], np.uint32(BLANK)).astype(np.uint64)
+        key = (key + character + np.uint64(1)) * ODD
+    return Runs(mix(key), owner, codes, place, start)
+
+
+def _added_up(parts: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+    """Key, tongue, characters, count, least and greatest text of each run once."""
+    key, tongue, characters, n, low, high = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+    if not len(first):
+        return []
+    some = order[first]
+    return [
+        (
+            key[first],
+            tongue[some],
+            characters[some],
+            np.add.reduceat(n[order], first),
+            np.minimum.reduceat(low[order], first),
+            np.maximum.reduceat(high[order], first),
+        )
+    ]
+
+
+def _counted(texts: list[str | None], tongues: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, ...]:
+    runs = runs_of(texts, tongues)
+    order = np.argsort(runs.key)
+    key = runs.key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+    some = order[first]
+    name = names[runs.text[order]]
+    if not len(first):
+        nothing = np.zeros(0, dtype=np.int64)
+        return key, nothing, np.zeros((0, ORDER), dtype=np.uint32), nothing, nothing, nothing
+    return (
+        key[first],
+        tongues[runs.text[some]],
+        runs.characters(some),
+        np.diff(np.append(first, len(key))),
+        np.minimum.reduceat(name, first),
+        np.maximum.reduceat(name, first),
+    )
+
+
+def count_runs(docs: DataFrame) -> DataFrame:
+    """``tongue, run, n, shared`` of ``docs`` (tongue, text, name: a hash of the text): how often each run is there,
+    and whether two different texts have it. Tasks add up their own counts first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def emitted() -> Iterator[pa.RecordBatch]:
+            for _, tongue, characters, n, low, high in held:
+                names = np.ascontiguousarray(characters.astype("<u4")).view(f"<U{ORDER}").ravel()
+                columns = {"tongue": tongue, "run": names, "n": n, "low": low, "high": high}
+                yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            tongues, names = (batch.column(c).to_numpy() for c in ("tongue", "name"))
+            for part in chunks(texts):
+                held.append(_counted(texts[part], tongues[part], names[part]))
+                if sum(len(h[0]) for h in held) > HELD:
+                    held = _added_up(held)
+                    if held and len(held[0][0]) > HELD // 2:
+                        yield from emitted()
+                        held = []
+        if held:
+            held = _added_up(held)
+            yield from emitted()
+
+    counted = docs.mapInArrow(run, "tongue long, run string, n long, low long, high long")
+    summed = counted.groupBy("tongue", "run").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return summed.select("tongue", "run", "n", (F.col("low") != F.col("high")).alias("shared"))
+
+
+# --- the model ------------------------------------------------------------------------------------------
+
+
+def _discounts(level: DataFrame, count: str) -> DataFrame:
+    """``tongue, d1, d2, d3``: what counts of one, two, and three or more give away; half where there is no estimate."""
+    kinds = level.groupBy("tongue").agg(*(F.count_if(F.col(count) == k).alias(f"n{k}") for k in (1, 2, 3, 4)))
+    of = [F.greatest(F.col(f"n{k}"), F.lit(1)).cast("double") for k in (1, 2, 3, 4)]
+    ratio = of[0] / (of[0] + 2 * of[1])
+    found = [k - (k + 1) * ratio * of[k] / of[k - 1] for k in (1, 2, 3)]
+    usable = (F.when((d > 0) & (d < k), d).otherwise(F.lit(0.5 * k)).alias(f"d{k}") for k, d in zip((1, 2, 3), found))
+    return kinds.select("tongue", *usable)
+
+
+def _probabilities(level: DataFrame, discounts: DataFrame, shorter: DataFrame | None, order: int) -> DataFrame:
+    """``tongue, run, p`` of the runs of a level, by their counts ``c`` and the level below.
+
+    A run's context is all but its last character. A context without counts leaves the character to the
+    run without its first one.
+    """
+    context = Window.partitionBy("tongue", F.substring("run", 1, order - 1))
+    c = F.col("c")
+    discount = F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).when(c > 2, F.col("d3")).otherwise(0.0)
+    counted = level.join(discounts, "tongue").select("tongue", "run", "c", discount.alias("discount"))
+    sums = {"total": F.sum("c").over(context), "taken": F.sum("discount").over(context)}
+    if shorter is None:
+        sums["below"] = 1 / (F.count(F.lit(1)).over(context) + 1)
+    ready = counted.withColumns(sums)
+    if shorter is not None:
+        below = shorter.select(F.col("tongue").alias("of_tongue"), F.col("run").alias("end"), F.col("p").alias("below"))
+        same = (F.col("tongue") == F.col("of_tongue")) & (F.substring("run", 2, order - 1) == F.col("end"))
+        ready = ready.join(below, same)
+    own = (F.col("c") - F.col("discount") + F.col("taken") * F.col("below")) / F.col("total")
+    return ready.select("tongue", "run", F.when(F.col("total") > 0, own).otherwise(F.col("below")).alias("p"))
+
+
+def fit_model(counts: DataFrame) -> DataFrame:
+    """``tongue, run, n, p`` of all runs counted: the last character's probability after the others.
+
+    The model is made of the shared runs. Shorter runs count by how many different characters come before them
+    in those. Runs that are not shared have a probability too, by what the model knows of their parts.
+    """
+    level = counts.select("tongue", "run", F.when(F.col("shared"), F.col("n")).otherwise(0).alias("c"), "n")
+    levels = {ORDER: level}
+    discounts = {ORDER: _discounts(level, "n")}
+    for order in range(ORDER - 1, 0, -1):
+        ends = levels[order + 1].groupBy("tongue", F.substring("run", 2, order).alias("run"))
+        levels[order] = written(ends.agg(F.count_if(F.col("c") > 0).alias("c")), f"runs-of-{order}")
+        discounts[order] = _discounts(levels[order], "c")
+    found = None
+    for order in range(1, ORDER + 1):
+        found = _probabilities(levels[order], discounts[order], found, order)
+    return found.join(counts.select("tongue", "run", "n"), ["tongue", "run"])
+
+
+def hashed_model(model: DataFrame) -> DataFrame:
+    """``key, bits, n``: the hash of each run's tongue and characters, as in ``runs_of``, and its cost."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                names = np.array(batch.column("run").to_pylist(), dtype=f"<U{ORDER}")
+                characters = names.view("<u4").reshape(len(names), ORDER)
+                key = run_keys(batch.column("tongue").to_numpy(), characters).view(np.int64)
+                bits = -np.log2(batch.column("p").to_numpy())
+                yield pa.RecordBatch.from_pydict({"key": key, "bits": bits, "n": batch.column("n")})
+
+    return model.select("tongue", "run", "p", "n").mapInArrow(run, "key long, bits double, n long")
+
+
+class SortedArrays:
+    """Costs by sorted hashes. As hashes are spread evenly, their first bits lead close to the place."""
+
+    def __init__(self, key: np.ndarray, bits: np.ndarray):
+        order = np.argsort(key)
+        self.key, self.bits = key[order], bits[order]
+        self.shift = np.uint64(64 - max(1, int(len(key)).bit_length()))
+        slots = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.first = np.append(np.searchsorted(self.key, slots), len(key))
+        self.most = int(np.diff(self.first).max()) if len(key) else 0
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The cost of each key; NaN for those that are not here."""
+        out = np.full(len(key), np.nan)
+        slot = (key >> self.shift).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end = at[left], end[left]
+        for _ in range(self.most):
+            hit = self.key[at] == key[left]
+            out[left[hit]] = self.bits[at[hit]]
+            more = ~hit & (at + 1 < end)
+            left, at, end = left[more], at[more] + 1, end[more]
+            if not len(left):
+                break
+        return out
+
+
+# --- scores -----------------------------------------------------------------------------------------------
+
+FACTS = "row long, doc_id long, tongue long, name long, " + ", ".join(f"{m} long" for m in MEASURES) + ", n_runs long, bits double"
+
+
+def _frequent(model: DataFrame) -> tuple[Column, DataFrame]:
+    """A condition for the most frequent runs of the model, FREQUENT of them at most, and the table itself.
+
+    Counts are taken in steps of an eighth of a doubling, so the bound is kept by counting, not by sorting.
+    """
+    step = F.floor(F.log2(F.col("n")) * 8).cast("int")
+    sizes = {r["step"]: r["count"] for r in model.groupBy(step.alias("step")).count().collect()}  # at most 512 rows
+    least, total = max(sizes, default=0) + 1, 0
+    for s in sorted(sizes, reverse=True):
+        total += sizes[s]
+        if total > FREQUENT:
+            break
+        least = s
+    return step >= least, model
+
+
+def score_runs(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """The columns FACTS for each row of ``docs``: base measures, runs, and their cost under the model, in bits.
+
+    The most frequent runs, a bounded number, are broadcast as sorted arrays; the other runs of each document go to
+    the range of hashes that they fall in, where the model's own lie in sorted arrays, and only sums come back.
+    """
+    spark = docs.sparkSession
+    frequent, model = _frequent(model)
+    hot = model.where(frequent).select("key", "bits").toArrow()
+    arrays = hot["key"].to_numpy().astype(np.int64).view(np.uint64), hot["bits"].to_numpy()
+    given = spark.sparkContext.broadcast(arrays)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, row = SortedArrays(*given.value), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            tongues = batch.column("tongue").to_numpy()
+            for part in chunks(texts):
+                runs = runs_of(texts[part], tongues[part])
+                count = part.stop - part.start
+                bits = known.find(runs.key)
+                rare = np.isnan(bits)
+                sums = np.bincount(runs.text, np.where(rare, 0.0, bits), minlength=count)
+                measures = np.array([base_measures(t) for t in texts[part]], dtype=np.int64).reshape(count, len(MEASURES))
+                rows = row + np.arange(count)
+                row += count
+                none = pa.nulls(count, pa.int64())
+                yield pa.RecordBatch.from_pydict(
+                    {"row": rows, **{c: batch.column(c).slice(part.start, count) for c in ("doc_id", "tongue", "name")}}
+                    | {m: measures[:, k] for k, m in enumerate(MEASURES)}
+                    | {"n_runs": np.bincount(runs.text, minlength=count).astype(np.int64), "bits": sums, "key": none, "n": none}
+                )
+                owner, key = runs.text[rare], runs.key[rare]
+                if len(key):
+                    order = np.lexsort((key, owner))
+                    owner, key = owner[order], key[order]
+                    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]))
+                    own = pa.nulls(len(first), pa.int64())
+                    yield pa.RecordBatch.from_pydict(
+                        {"row": rows[owner[first]], **{c: own for c in ("doc_id", "tongue", "name", *MEASURES, "n_runs")}}
+                        | {"bits": pa.nulls(len(first), pa.float64()), "key": key[first].view(np.int64), "n": np.diff(np.append(first, len(key)))}
+                    )
+
+    with batches_of(spark):
+        staged = written(docs.mapInArrow(run, f"{FACTS}, key long, n long"), "run-scores")
+    facts = staged.where("key is null").drop("key", "n")
+    ranges = max(1, model.where(~frequent).count() // RANGE)
+    part = F.pmod(F.shiftrightunsigned("key", 8), F.lit(ranges)).alias("part")
+    asked = staged.where("key is not null").select(part, "row", "key", "n")
+    held = model.where(~frequent).select(part.alias("of_part"), "key", "bits")
+
+    def looked_up(questions: pa.Table, entries: pa.Table) -> pa.Table:
+        arrays = SortedArrays(entries["key"].to_numpy().view(np.uint64), entries["bits"].to_numpy())
+        cost = arrays.find(questions["key"].to_numpy().view(np.uint64)) * questions["n"].to_numpy()
+        rows, which = np.unique(questions["row"].to_numpy(), return_inverse=True)
+        return pa.table({"asker": rows, "more": np.bincount(which, cost, minlength=len(rows))})
+
+    sums = asked.groupBy("part").cogroup(held.groupBy("of_part")).applyInArrow(looked_up, "asker long, more double")
+    sums = sums.groupBy("asker").agg(F.sum("more").alias("more"))
+    joined = facts.join(sums, F.col("row") == F.col("asker"), "left")
+    return joined.withColumn("bits", F.col("bits") + F.coalesce("more", F.lit(0.0))).drop("asker", "more")
+
+
+# --- bands ------------------------------------------------------------------------------------------------
+
+
+def bands(scored: DataFrame, fence: float) -> DataFrame:
+    """``tongue, size, lower, upper``: limits of the bits a character of a language's texts of like length.
+
+    Taken from ``scored`` (tongue, size: the doublings of the length, name, cost), each different text once: the
+    median, and the quartiles' distances from it on either side, which give a standard deviation each. A length with
+    few texts takes the limits of the next shorter one that has enough, or else of the next longer one; a
+    language that has none has no limits.
+    """
+    texts = scored.groupBy("tongue", "size", "name").agg(F.min(F.floor(F.col("cost") / BIN)).alias("bin"))
+    bins = texts.groupBy("tongue", "size", "bin").agg(F.count(F.lit(1)).alias("texts"))
+    whole = Window.partitionBy("tongue", "size")
+    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.withColumns({"upto": F.sum("texts").over(upto), "all": F.sum("texts").over(whole)})
+    at = {q: F.min(F.when(F.col("upto") >= F.col("all") * share, F.col("bin"))) for q, share in QUARTILES.items()}
+    found = bins.groupBy("tongue", "size").agg(F.max("all").alias("all"), *(c.alias(q) for q, c in at.items()))
+    middle = (F.col("q2") + 0.5) * BIN
+    spread = [F.greatest(d * BIN / 0.6745, F.lit(LEAST_SPREAD)) for d in (F.col("q2") - F.col("q1"), F.col("q3") - F.col("q2"))]
+    enough = F.col("all") >= LEAST_TEXTS
+    limits = found.select(
+        "tongue", "size",
+        F.when(enough, middle - fence * spread[0]).alias("lower"),
+        F.when(enough, middle + fence * spread[1]).alias("upper"),
+    )
+    shorter = Window.partitionBy("tongue").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    longer = Window.partitionBy("tongue").orderBy("size").rowsBetween(0, Window.unboundedFollowing)
+    near = {
+        c: F.coalesce(F.last(c, ignorenulls=True).over(shorter), F.first(c, ignorenulls=True).over(longer))
+        for c in ("lower", "upper")
+    }
+    return limits.select("tongue", "size", *(e.alias(c) for c, e in near.items()))
+
+
+QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
 
 
 def judge_perplexity(docs: DataFrame, fence: float = FENCE) -> DataFrame:
@@ -161,35 +418,35 @@ def judge_perplexity(docs: DataFrame, fence: float = FENCE) -> DataFrame:
     for each row of ``docs`` (doc_id, text, lang; others are not read).
 
     base_failed: fewer than 50 words, or over half of them in three-word runs that the text repeats.
-    perplexity: per word, with the end of the text as one more, of the whole text under the model of its
-    language: runs of up to three words, counted over all its other texts, so no text vouches for itself.
-    kept: not base_failed, and the log perplexity lies between the bands of its language: the quartiles
-    of all its documents that pass the base rules, widened by ``fence`` times their distance. A null
-    language is one of its own. Null and empty texts have no words and fail the base rules. Repeated rows
-    count and are judged each. An empty table gives no rows.
+    perplexity: per character, white space taken as one blank, with the end as one more, of the whole text under the
+    model of its language; null without words. The model is one of modified Kneser-Ney over runs of ORDER
+    characters, counted over all texts of the language; runs that only one text has, or its exact copies, are
+    left out. kept: not base_failed, and the log perplexity lies within ``fence`` standard deviations of the
+    median, both ways, as the quartiles of the language's different texts of like length that pass the base rules
+    tell them. A language with fewer than LEAST_TEXTS texts of any length has no bands and keeps them. A null
+    language is one of its own, apart from ''. Null and empty texts have no words and fail the base rules. Repeated
+    rows are judged each, and count as one text. An empty table gives no rows.
     """
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text", "lang")
-    rows = rows.withColumn("lang", F.coalesce("lang", F.lit(""))).withColumn("tongue", F.xxhash64("lang"))
-    measures = "doc_id long, lang string, tongue long, " + ", ".join(f"{m} long" for m in MEASURES)
-    blocks = rows.mapInPandas(blocks_of_words(_measured), measures + ", block long, words array<long>")
-    scored = scored_by_others(written(blocks, "word-blocks"))
+    tongue = F.xxhash64(F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tongue.alias("tongue"), F.xxhash64("text").alias("name"))
+    with batches_of(docs.sparkSession):
+        counts = written(count_runs(rows.select("tongue", "text", "name")), "runs")
+    model = written(hashed_model(fit_model(counts)), "run-model")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
-    scored = written(scored.withColumn("base_failed", failed), "perplexities")
-    quartiles = (
-        scored.where("not base_failed")
-        .groupBy("lang")
-        .agg(F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias("q"))
-    )
-    bands = quartiles.select(
-        "lang",
-        (F.col("q")[0] - fence * (F.col("q")[1] - F.col("q")[0])).alias("lower"),
-        (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("upper"),
+    scored = score_runs(rows, model).withColumns(
+        {
+            "base_failed": failed,
+            "cost": F.when(F.col("n_runs") > 0, F.col("bits") / F.col("n_runs")),
+            "size": F.when(F.col("n_runs") > 0, F.floor(F.log2("n_runs")).cast("int")),
+        }
     )
-    within = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    return scored.join(written(bands, "perplexity-bands"), "lang", "left").select(
+    scored = written(scored.drop("row", "bits", "n_runs"), "perplexities")
+    limits = written(bands(scored.where("not base_failed"), fence), "perplexity-bands")
+    within = F.coalesce(F.col("cost").between(F.col("lower"), F.col("upper")), F.lit(True))
+    return scored.join(limits, ["tongue", "size"], "left").select(
         "doc_id",
         *MEASURES,
         "base_failed",
-        F.exp("log_perplexity").alias("perplexity"),
-        (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"),
+        F.pow(F.lit(2.0), F.col("cost")).alias("perplexity"),
+        (~F.col("base_failed") & within).alias("kept"),
     )
