@@ -16,7 +16,12 @@ def test_generated_files_to_named_gold_tables(spark, scratch, capsys):
     job.main(["generate", landing, "--customers", "60", "--transactions", "900"])
     job.main(["refresh", landing, out, "--checkpoints", f"{scratch}/checkpoints"])
     assert '"transaction_id not null": 0' in capsys.readouterr().out
-    job.main(["refresh", landing, f"{scratch}/batch"])
+    os.makedirs(f"{scratch}/catalogs/bank_test/raw_data")
+    os.rename(landing, f"{scratch}/catalogs/bank_test/raw_data/landing")
+    try:
+        job.main(["refresh", f"{scratch}/catalogs", f"{scratch}/batch", "--catalog", "bank_test"])
+    finally:
+        spark.conf.unset("catalog_name")
     for table in ("customer_360", "fraud_alerts"):
         streamed, batch = (
             read_table(spark, f"{root}/gold/{table}").drop("_updated_at") for root in (out, f"{scratch}/batch")

@@ -12,10 +12,14 @@ CATALOG_KEY = "catalog_name"
 DEFAULT_CATALOG = "bank_dev"
 
 
-def landing_path(spark: SparkSession, entity: str, root: str = "/data") -> str:
-    """Folder of one entity below the catalog named in the session configuration."""
+def landing_base(spark: SparkSession, root: str = "/data") -> str:
+    """Folder of all entities below the catalog named in the session configuration."""
     catalog = spark.conf.get(CATALOG_KEY, DEFAULT_CATALOG)
-    return f"{root}/{catalog}/raw_data/landing/{entity}/"
+    return f"{root}/{catalog}/raw_data/landing"
+
+
+def landing_path(spark: SparkSession, entity: str, root: str = "/data") -> str:
+    return f"{landing_base(spark, root)}/{entity}/"
 
 
 def with_lineage(files: DataFrame) -> DataFrame:

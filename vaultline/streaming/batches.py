@@ -141,7 +141,7 @@ def fold_ledger(spark: SparkSession, ledger: str) -> int:
     """
     settle(spark, ledger)
     numbers = [int(path.rpartition("=")[2]) for path in children(spark, ledger) if f"/{BATCH}=" in path]
-    last = max(numbers)
+    last = max(numbers, default=BEFORE_ALL)
     done = [n for n in numbers if BEFORE_ALL < n < last]
     if done:
         keys = spark.read.parquet(ledger).where(F.col(BATCH) < last)

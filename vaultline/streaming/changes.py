@@ -35,7 +35,7 @@ def start_changes(spark: SparkSession, schema: StructType, feed: ChangeFeed, tar
     for folder in (f"{target}/changes/{BATCH}={BEFORE_ALL}", f"{target}/base/{BUCKET}={NO_BUCKET}"):
         if not exists(spark, folder):
             empty.write.mode("overwrite").parquet(folder)
-        elif not set(empty.columns) <= set(_stored(spark, folder).columns):
+        elif not set(empty.columns) <= set(_schema(spark, folder).names):
             empty.write.mode("append").parquet(folder)
 
 
@@ -48,9 +48,15 @@ def write_changes(changes: DataFrame, feed: ChangeFeed, target: str, checkpoint:
     return changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
+def _schema(spark: SparkSession, folder: str) -> StructType:
+    """All fields so far, as the few files without rows in ``folder`` tell."""
+    return spark.read.option("mergeSchema", True).parquet(folder).schema
+
+
+def _stored(spark: SparkSession, target: str, part: str) -> DataFrame:
     """With all the columns that any file has: a field may be found after the first buckets were written."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    known = _schema(spark, f"{target}/changes/{BATCH}={BEFORE_ALL}")
+    return spark.read.schema(known).parquet(f"{target}/{part}")
 
 
 def _newest(feed: ChangeFeed, base: DataFrame, changes: DataFrame) -> DataFrame:
@@ -60,7 +66,7 @@ def _newest(feed: ChangeFeed, base: DataFrame, changes: DataFrame) -> DataFrame:
 def read_newest(spark: SparkSession, feed: ChangeFeed, target: str) -> DataFrame:
     """The newest row of every key, deletes included."""
     settle(spark, f"{target}/base")
-    return _newest(feed, _stored(spark, f"{target}/base"), _stored(spark, f"{target}/changes"))
+    return _newest(feed, _stored(spark, target, "base"), _stored(spark, target, "changes"))
 
 
 def read_current(spark: SparkSession, feed: ChangeFeed, target: str) -> DataFrame:
@@ -79,10 +85,10 @@ def compact(spark: SparkSession, feed: ChangeFeed, target: str, buckets: int = B
     folders = {int(p.rpartition("=")[2]): p for p in children(spark, f"{target}/changes") if f"/{BATCH}=" in p}
     last = max(folders)
     if last > BEFORE_ALL:
-        changes = _stored(spark, f"{target}/changes").where(F.col(BATCH) <= last)
+        changes = _stored(spark, target, "changes").where(F.col(BATCH) <= last)
         changes = changes.withColumn(BUCKET, bucket_of(feed.keys, buckets))
         touched = [row[BUCKET] for row in changes.select(BUCKET).distinct().collect()]  # at most all buckets
-        base = _stored(spark, f"{target}/base").where(F.col(BUCKET).isin(touched))
+        base = _stored(spark, target, "base").where(F.col(BUCKET).isin(touched))
         replace_partitions(bucketed(_newest(feed, base, changes), feed.keys, buckets), f"{target}/base", BUCKET)
         marker = spark.range(1).select(F.lit(last).cast("long").alias("upto"))
         marker.write.mode("append").parquet(f"{target}/finished")

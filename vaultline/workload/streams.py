@@ -127,7 +127,7 @@ def cdc_stream_scd1(bank: Bank) -> DataFrame:
         landed = stream_table(bank.spark, f"{root}/landing/*", events.schema)
         run_available(write_changes(landed, USER_CHANGES, f"{root}/users", f"{root}/checkpoint"))
         if run == 1:
-            compact(bank.spark, USER_CHANGES, f"{root}/users")
+            compact(bank.spark, USER_CHANGES, f"{root}/users", buckets=8)
     return read_current(bank.spark, USER_CHANGES, f"{root}/users")
 
 
