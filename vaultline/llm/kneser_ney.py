@@ -31,6 +31,7 @@ BIN = 0.002  # bits a character; quartiles are exact up to it
 FREQUENT = 1 << 19  # runs that are broadcast, at most; all others are joined
 HELD = 1 << 21  # counts that a task holds before it adds them up
 RANGE = 1 << 16  # runs of the model in one range of hashes, about
+SALTS = 64  # parts in which the runs of a language meet its discounts
 
 BLANK, ODD = 0x20, np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,22 +70,18 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 class Runs:
     """The runs of some texts, one for each character and the blank behind the last.
 
-    key: hash of the tongue and the run; text: whose it is; codes: characters of all texts, blank behind blank
-    taken out; at, start: place of a run's last character in them, and of its text's first. A run that begins
-    before its text has blanks there.
+    key: hash of the tongue and the run; text: whose it is; line: characters of all texts, blank behind blank
+    taken out, and ORDER - 1 blanks before each; at: place of a run's last character in it.
     """
 
     key: np.ndarray
     text: np.ndarray
-    codes: np.ndarray
+    line: np.ndarray
     at: np.ndarray
-    start: np.ndarray
 
     def characters(self, which: np.ndarray) -> np.ndarray:
         """The runs as rows of ORDER characters."""
-        place = self.at[which][:, None] - np.arange(ORDER - 1, -1, -1)
-        inside = place >= self.start[which][:, None]
-        return np.where(inside, self.codes[np.maximum(place, 0)], BLANK).astype(np.uint32)
+        return self.line[self.at[which][:, None] - np.arange(ORDER - 1, -1, -1)]
 
 
 def run_keys(tongue: np.ndarray, characters: np.ndarray) -> np.ndarray:
@@ -109,16 +106,19 @@ def runs_of(texts: list[str | None], tongues: np.ndarray) -> Runs:
     stays[0] = False
     at = np.flatnonzero(stays)
     codes, owner = codes[at], owner[at]
-    first = np.ones(len(owner), dtype=bool)
-    first[1:] = owner[1:] != owner[:-1]
-    start = np.maximum.accumulate(np.where(first, np.arange(len(owner)), 0))
-    place = np.arange(len(owner))
-    key = tongues[owner].astype(np.int64).view(np.uint64) if len(owner) else np.zeros(0, dtype=np.uint64)
+    if not len(owner):
+        nothing = np.zeros(0, dtype=np.int64)
+        return Runs(nothing.view(np.uint64), nothing, codes, nothing)
+    at = np.arange(len(owner)) + (ORDER - 1) * (1 + np.concatenate([[0], np.cumsum(owner[1:] != owner[:-1])]))
+    line = np.full(int(at[-1]) + 1, BLANK, dtype=np.uint32)
+    line[at] = codes
+    key = np.zeros(len(line), dtype=np.uint64)
+    key[at] = tongues[owner].astype(np.int64).view(np.uint64)
+    plus = line.astype(np.uint64) + np.uint64(1)
     for back in range(ORDER - 1, -1, -1):
-        inside = place - back >= start
-        character = np.where(inside, codes[np.maximum(place - back, 0)], np.uint32(BLANK)).astype(np.uint64)
-        key = (key + character + np.uint64(1)) * ODD
-    return Runs(mix(key), owner, codes, place, start)
+        key[back:] += plus[: len(line) - back]
+        key *= ODD
+    return Runs(mix(key[at]), owner, line, at)
 
 
 def _added_up(parts: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
@@ -216,7 +216,9 @@ def _probabilities(level: DataFrame, discounts: DataFrame, shorter: DataFrame |
     context = Window.partitionBy("tongue", F.substring("run", 1, order - 1))
     c = F.col("c")
     discount = F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).when(c > 2, F.col("d3")).otherwise(0.0)
-    counted = level.join(discounts, "tongue").select("tongue", "run", "c", discount.alias("discount"))
+    salted = level.withColumn("salt", F.pmod(F.xxhash64("run"), F.lit(SALTS)).cast("int"))
+    spread = discounts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counted = salted.join(spread, ["tongue", "salt"]).select("tongue", "run", "c", discount.alias("discount"))
     sums = {"total": F.sum("c").over(context), "taken": F.sum("discount").over(context)}
     if shorter is None:
         sums["below"] = 1 / (F.count(F.lit(1)).over(context) + 1)
