@@ -133,29 +133,33 @@ def planted(spark, folder, lang, draw):
         draw.shuffle(words)
         return " ".join(words)
 
+    count = sum(r.lang == lang for r in docs) // 100
+    others = [r for r in clean if r.lang != lang and len(r.text.split()) <= 1000]
     kinds = {
-        "shuffled": [shuffled(r.text) for r in draw.sample(own, 25)],
-        "letters": ["".join(c if c.isspace() else draw.choice(letters) for c in r.text) for r in draw.sample(own, 25)],
-        "foreign": [r.text for r in draw.sample([r for r in clean if r.lang != lang], 25)],
+        "shuffled": [shuffled(r.text) for r in draw.sample(own, count)],
+        "letters": ["".join(c if c.isspace() else draw.choice(letters) for c in r.text) for r in draw.sample(own, count)],
+        "foreign": [r.text for r in draw.sample(others, count)],
     }
     return docs, clean, kinds
 
 
-@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
-def test_bands_reject_what_is_no_text_of_the_language(spark, lang):
-    """On the documents of the middle size. Words of these are drawn one by one, so shuffling them only shows where
-    sentences begin and end; about half of such texts are found, more where there are more texts to learn from."""
-    folder = "/root/testdata/sf0.1"
-    docs, clean, kinds = planted(spark, folder, lang, random.Random(4))
+@pytest.mark.parametrize("lang, most_shuffled", [("en", 0.25), ("de", 0.25), ("fr", 0.25), ("es", 0.5)])
+def test_bands_reject_what_is_no_text_of_the_language(spark, lang, most_shuffled):
+    """On the documents of the middle size, with one of each kind planted for a hundred documents of the language.
+
+    Words of these documents are drawn one by one, so shuffling them only shows where sentences begin and end: the
+    more texts of a language there are to learn from, the more such texts are found.
+    """
+    docs, clean, kinds = planted(spark, "/root/testdata/sf0.1", lang, random.Random(4))
     extra = [(-1 - i, text, kind) for i, (kind, text) in enumerate((k, t) for k, ts in kinds.items() for t in ts)]
     rows = [(i, text, lang) for i, text, _ in extra]
     frame = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in docs if r.lang == lang] + rows, COLUMNS)
     kept = {r.doc_id for r in judge_perplexity(frame.repartition(8)).where("kept").collect()}
-    share = {kind: sum(i in kept for i, _, k in extra if k == kind) / 25 for kind in kinds}
+    share = {kind: sum(i in kept for i, _, k in extra if k == kind) / len(texts) for kind, texts in kinds.items()}
     good = [r.doc_id for r in clean if r.lang == lang]
     rejected = sum(i not in kept for i in good) / len(good)
-    assert share["letters"] == 0 and share["foreign"] <= 0.04 and share["shuffled"] <= 0.5, share
-    assert rejected <= 0.04, rejected
+    assert share["letters"] == 0 and share["foreign"] <= 0.1 and share["shuffled"] <= most_shuffled, share
+    assert rejected <= 0.03, rejected
 
 
 def test_copies_fare_like_their_text(spark, sf_dir):
