@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import sentencepiece
+from edge_rows import edge_docs  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from edge_rows import EDGE_TEXTS
+from edge_rows import EDGE_TEXTS, edge_docs  # noqa: F401
 
 from vaultline.llm import queries
 from vaultline.llm.components import components

@@ -336,7 +336,7 @@ def score_runs(docs: DataFrame, model: DataFrame) -> DataFrame:
                 count = part.stop - part.start
                 bits = known.find(runs.key)
                 rare = np.isnan(bits)
-                sums = np.bincount(runs.text, np.where(rare, 0.0, bits), minlength=count)
+                sums = np.bincount(runs.text, np.where(rare, 0.0, bits), minlength=count).astype(float)  # also without runs
                 measures = np.array([base_measures(t) for t in texts[part]], dtype=np.int64).reshape(count, len(MEASURES))
                 rows = row + np.arange(count)
                 row += count
@@ -369,7 +369,7 @@ def score_runs(docs: DataFrame, model: DataFrame) -> DataFrame:
         arrays = SortedArrays(entries["key"].to_numpy().view(np.uint64), entries["bits"].to_numpy())
         cost = arrays.find(questions["key"].to_numpy().view(np.uint64)) * questions["n"].to_numpy()
         rows, which = np.unique(questions["row"].to_numpy(), return_inverse=True)
-        return pa.table({"asker": rows, "more": np.bincount(which, cost, minlength=len(rows))})
+        return pa.table({"asker": rows, "more": np.bincount(which, cost, minlength=len(rows)).astype(float)})
 
     sums = asked.groupBy("part").cogroup(held.groupBy("of_part")).applyInArrow(looked_up, "asker long, more double")
     sums = sums.groupBy("asker").agg(F.sum("more").alias("more"))
