@@ -32,10 +32,9 @@ def start_changes(spark: SparkSession, schema: StructType, feed: ChangeFeed, tar
     if any("/upto=" in path for path in children(spark, f"{target}/base")):
         raise ValueError(f"{target} was written by an earlier version; run its stream again into a folder of its own")
     empty = feed.newest(spark.createDataFrame([], schema))
-    for folder in (f"{target}/changes/{BATCH}={BEFORE_ALL}", f"{target}/base/{BUCKET}={NO_BUCKET}"):
-        if not exists(spark, folder):
-            empty.write.mode("overwrite").parquet(folder)
-        elif not set(empty.columns) <= set(_schema(spark, folder).names):
+    without_rows = f"{target}/changes/{BATCH}={BEFORE_ALL}"
+    if not exists(spark, without_rows) or not set(empty.columns) <= set(_schema(spark, without_rows).names):
+        for folder in (f"{target}/base/{BUCKET}={NO_BUCKET}", without_rows):
             empty.write.mode("append").parquet(folder)
 
 
