@@ -1,0 +1,25 @@
+"""What a worker remembers of the segments that it has encoded."""
+
+import tracemalloc
+
+from vaultline.llm import queries
+from vaultline.llm.piece_matching import Encoder, load_pieces
+
+
+def test_segments_take_little_memory():
+    encoder = Encoder(load_pieces(queries.PIECE_MODEL))
+    words = [f"{i * 7919 % 99991}x{i}" for i in range(30_000)]
+    text = " ".join(words)
+    encoder.encode([text[:100]])
+    tracemalloc.start()
+    try:
+        tokens, bounds = encoder.encode([text])
+        size = len(tokens)
+        del tokens, bounds
+        left = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert left < 4 * size + 40 * len(words)  # a dict of them took more than 100 bytes each
+    again, bounds = encoder.encode([text, None, ""])
+    assert bounds.tolist() == [0, size, size, size] and len(encoder.known) >= len(words)
+    assert encoder.decode(again, bounds) == [text, "", ""]

@@ -252,15 +252,28 @@ def _gather(offset: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Encoder:
-    """Encodes batches of texts; segments seen before come from memory."""
+    """Encodes batches of texts; segments seen before come from memory.
+
+    known, slot: sorted hashes of these segments, and where in ``tokens`` each lies: arrays, as a dict takes
+    ten times the memory of a worker.
+    """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.tokens, self.offset = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+        self.known, self.slot = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.tokens, self.offset = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int32)
+
+    def _remember(self, hashes: np.ndarray, tokens: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        """Takes in new segments: sorted hashes, and in their order the ids and how many of them each has."""
+        at = np.searchsorted(self.known, hashes)
+        slots = np.arange(len(self.slot), len(self.slot) + len(hashes), dtype=np.int32)
+        self.known, self.slot = np.insert(self.known, at, hashes), np.insert(self.slot, at, slots)
+        ends = self.offset[-1] + np.cumsum(np.concatenate(sizes))
+        self.offset = np.concatenate([self.offset, ends.astype(np.int32)])
+        self.tokens = np.concatenate([self.tokens, *tokens])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         raw = [(SPACE + t.encode("utf-8", "replace").replace(MARK, SPACE)) if t else b"" for t in texts]
@@ -274,18 +287,17 @@ class Encoder:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(text)) if len(starts) else starts
         unique, where, which = np.unique(span_hashes(text, starts, ends), return_index=True, return_inverse=True)
-        unique = unique.tolist()
         if len(self.tokens) > CACHE:
             self.forget()
-        new = np.array([i for i, h in enumerate(unique) if h not in self.known], dtype=np.int64)
+        at = np.searchsorted(self.known, unique)
+        found = self.known.take(at, mode="clip") == unique if len(self.known) else np.zeros(len(unique), dtype=bool)
+        new = np.flatnonzero(~found)
         sizes = np.cumsum((ends - starts)[where[new]])
-        for part in np.split(new, np.flatnonzero(np.diff(sizes // BATCH)) + 1) if len(new) else ():
-            tokens, bounds = encode_segments(self.pieces, text, starts[where[part]], ends[where[part]])
-            slot = len(self.offset) - 1
-            self.known.update(zip((unique[i] for i in part.tolist()), range(slot, slot + len(part))))
-            self.offset = np.concatenate([self.offset, self.offset[-1] + bounds[1:]])
-            self.tokens = np.concatenate([self.tokens, tokens])
-        slots = np.array([self.known[h] for h in unique], dtype=np.int64)[which] if unique else np.zeros(0, np.int64)
+        parts = np.split(new, np.flatnonzero(np.diff(sizes // BATCH)) + 1) if len(new) else ()
+        coded = [encode_segments(self.pieces, text, starts[where[part]], ends[where[part]]) for part in parts]
+        if coded:
+            self._remember(unique[new], [tokens for tokens, _ in coded], [np.diff(bounds) for _, bounds in coded])
+        slots = self.slot[np.searchsorted(self.known, unique)][which]
         places, bounds = _gather(self.offset, slots)
         return self.tokens[places], bounds[np.searchsorted(starts, offsets)]
 
