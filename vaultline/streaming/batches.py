@@ -8,8 +8,6 @@ may deal out its rows to buckets of a key, so that later changes of a few keys r
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +18,7 @@ from vaultline.operators.dedup import ARRIVAL, leading_row
 from vaultline.sinks.files import children, exists, remove, replace_partitions, settle
 
 BATCH, BUCKET = "batch", "bucket"
+KNOWN = "_known"  # marks a key that an earlier batch had
 BEFORE_ALL = -1  # batch ids start at 0
 BUCKETS = 64  # of one table; keep the number as long as the table lives
 
@@ -76,25 +75,18 @@ def write_batches(
 # --- first arrivals ---------------------------------------------------------------------------
 
 
-def _same(one: DataFrame, two: DataFrame, keys: Sequence[str]) -> Column:
-    """Keys of ``one`` and, under other names, of ``two``; a missing key is one like any other."""
-    return reduce(and_, (one[key].eqNullSafe(two[f"other_{key}"]) for key in keys))
+def unseen(batch: DataFrame, number: int, keys: Sequence[str], order: Sequence[Column], ledger: str) -> DataFrame:
+    """The first row of each key of a batch, by ``order``, that no earlier batch had. ``ledger`` holds the keys of all.
 
-
-def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*(F.col(key).alias(f"other_{key}") for key in keys))
-
-
-def unseen(first: DataFrame, number: int, keys: Sequence[str], ledger: str) -> DataFrame:
-    """Rows of a batch, one a key, whose key no earlier batch had. ``ledger`` holds the keys of all batches.
-
-    It is cut down to the batch's keys before it is joined, so most of it need not be shuffled where Spark
-    finds a filter on these keys worth its while.
+    Known keys run along with the batch as rows that come before all others, so that rows are shuffled once, by
+    their key, and known ones as keys alone; a missing key is one like any other. The mark is null for rows of
+    the batch, so it leaves their hash, and with it the order of ties, as it is.
     """
-    known = first.sparkSession.read.parquet(ledger).where(F.col(BATCH) < number).select(*keys)
-    mine = _renamed(first, keys)
-    seen = _renamed(known.join(mine, _same(known, mine, keys), "left_semi"), keys)
-    return first.join(seen, _same(first, seen, keys), "left_anti")
+    known = batch.sparkSession.read.parquet(ledger).where(F.col(BATCH) < number)
+    known = known.select(*keys, F.lit(True).alias(KNOWN))
+    both = batch.withColumn(KNOWN, F.lit(None).cast("boolean")).unionByName(known, allowMissingColumns=True)
+    first = leading_row(both, keys, [F.col(KNOWN).desc_nulls_last(), *order])
+    return first.where(F.col(KNOWN).isNull()).drop(KNOWN)
 
 
 def write_first(
@@ -120,15 +112,13 @@ def write_first(
 
     def store(batch: DataFrame, number: int) -> None:
         order = [F.col(c).asc_nulls_first() for c in arrival if c in batch.columns]
-        first = leading_row(batch, keys, order).persist()
-        fresh = unseen(first, number, keys, ledger).persist()
+        fresh = unseen(batch, number, keys, order, ledger).persist()
         try:
             write_batch(fresh.select(*keys), ledger, number)
             write_batch(refine(fresh, number), path, number, bucket_keys, buckets)
             done(number)
         finally:
             fresh.unpersist()
-            first.unpersist()
 
     return rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
