@@ -31,30 +31,32 @@ def per_second(transactions: DataFrame) -> DataFrame:
     )
 
 
-def trailing_counts(
-    seconds: DataFrame, span: int = DAY_SECONDS, slot_seconds: int = SLOT_SECONDS
-) -> DataFrame:
-    """Add ``tx_count_24h``, the ids of the account within ``span`` seconds up to each second."""
+def handed_on(seconds: DataFrame, span: int = DAY_SECONDS, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """Each row in the ``slot`` of its second, and those of a slot's last ``span`` again, not ``own``, in the next one."""
     if slot_seconds < span:
         raise ValueError("a slot must be at least as long as the span it looks back")
-    second = F.col("second")
-    offset = F.pmod(second, F.lit(slot_seconds))
-    slot = second - offset
-
+    offset = F.pmod(F.col("second"), F.lit(slot_seconds))
+    slot = F.col("second") - offset
     own = F.struct(slot.alias("slot"), F.lit(True).alias("own"))
-    handed_on = F.struct((slot + slot_seconds).alias("slot"), F.lit(False).alias("own"))
-    slots = F.when(offset >= slot_seconds - span, F.array(own, handed_on)).otherwise(F.array(own))
+    next_one = F.struct((slot + slot_seconds).alias("slot"), F.lit(False).alias("own"))
+    slots = F.when(offset >= slot_seconds - span, F.array(own, next_one)).otherwise(F.array(own))
+    return seconds.select("*", F.inline(slots))
+
 
+def counted(slotted: DataFrame, span: int = DAY_SECONDS) -> DataFrame:
+    """The own rows of ``handed_on`` seconds, of which an account has one row in each slot, with ``tx_count_24h``."""
     in_slot = Window.partitionBy("account_id", "slot").orderBy("second")
     entered = F.sum("ids").over(in_slot.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     left = F.sum("ids").over(in_slot.rangeBetween(Window.unboundedPreceding, -(span + 1)))
-    recent = F.when(second.isNull(), F.col("ids")).otherwise(entered - F.coalesce(left, F.lit(0)))
-    return (
-        seconds.select("*", F.inline(slots))
-        .withColumn("tx_count_24h", recent)
-        .filter("own")
-        .drop("slot", "own")
-    )
+    recent = F.when(F.col("second").isNull(), F.col("ids")).otherwise(entered - F.coalesce(left, F.lit(0)))
+    return slotted.withColumn("tx_count_24h", recent).filter("own").drop("slot", "own")
+
+
+def trailing_counts(
+    seconds: DataFrame, span: int = DAY_SECONDS, slot_seconds: int = SLOT_SECONDS
+) -> DataFrame:
+    """Add ``tx_count_24h``, the ids of the account within ``span`` seconds up to each second."""
+    return counted(handed_on(seconds, span, slot_seconds), span)
 
 
 def is_alert(limit: int = VELOCITY_LIMIT) -> Column:

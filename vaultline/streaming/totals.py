@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from vaultline.functions.derive import cents_and_others, epoch_second, money_total
-from vaultline.operators.velocity import SLOT_SECONDS, is_alert, trailing_counts
-from vaultline.sinks.files import exists, replace_partitions, settle
+from vaultline.operators.velocity import SLOT_SECONDS, counted, handed_on, is_alert
+from vaultline.session import scratch_dir
+from vaultline.sinks.files import exists, remove, replace_partitions, settle
 from vaultline.streaming.batches import BATCH, BEFORE_ALL
 
 SLOT = "slot"
@@ -55,10 +56,17 @@ def by_second(transactions: DataFrame) -> DataFrame:
     return counted.withColumn(SLOT, slot_of(F.col("second")))
 
 
-def by_slot(seconds: DataFrame) -> DataFrame:
-    """Totals per account and slot, of seconds of which each account has one row."""
+def by_slot(stored: DataFrame) -> DataFrame:
+    """Totals per account and slot, of seconds of which each account may have a row from every batch.
+
+    Rows are dealt out once, by account and slot after the last day was handed on, and are added up, counted and
+    summed where they are.
+    """
+    rows = handed_on(stored.drop(SLOT)).repartition("account_id", "slot")
+    seconds = rows.groupBy("account_id", "slot", "own", "second").agg(*_summed(F.sum("rows").alias("rows")))
     alerts = F.sum(F.when(is_alert(), F.col("rows")).otherwise(0)).alias("alerts")
-    return trailing_counts(seconds).withColumn(SLOT, slot_of(F.col("second"))).groupBy("account_id", SLOT).agg(*_summed(alerts))
+    totals = counted(seconds.withColumn("in_slot", F.col("slot"))).groupBy("account_id", "in_slot").agg(*_summed(alerts))
+    return totals.withColumn(SLOT, F.coalesce("in_slot", F.lit(NO_DATE))).drop("in_slot")
 
 
 def _same(one: DataFrame, two: DataFrame) -> Column:
@@ -90,15 +98,18 @@ def add_batch(transactions: DataFrame, number: int, root: str) -> None:
 
     stored = spark.read.schema(SECONDS).parquet(f"{root}/seconds")
     stored = stored.where(F.col(SLOT).isin([*{*slots, *after, *before}]) & (F.col(BATCH) <= number))
-    accounts = touched.select("touched_account").distinct()
+    # Written first, so that Spark knows their size and need not shuffle the stored seconds to meet few accounts.
+    listed = scratch_dir(spark, "touched")
+    mine.select(F.col("account_id").alias("touched_account")).distinct().write.parquet(listed)
+    accounts = spark.read.schema("touched_account string").parquet(listed)
     of_touched = stored.join(accounts, stored["account_id"].eqNullSafe(accounts["touched_account"]), "left_semi")
-    seconds = of_touched.groupBy("account_id", "second").agg(*_summed(F.sum("rows").alias("rows")))
-    slotted = by_slot(seconds)
+    slotted = by_slot(of_touched)
     new = slotted.join(touched, _same(slotted, touched), "left_semi")
     if exists(spark, f"{root}/totals"):
         old = spark.read.schema(TOTALS).parquet(f"{root}/totals").where(F.col(SLOT).isin([*{*slots, *after}]))
         new = new.unionByName(old.join(touched, _same(old, touched), "left_anti"))
     replace_partitions(new.hint("rebalance", F.col(SLOT)), f"{root}/totals", SLOT)
+    remove(spark, listed)
 
 
 def keep_totals(transactions: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
